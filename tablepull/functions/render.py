@@ -23,17 +23,30 @@ def render_bool(column: Column, style: str = "tf") -> Column:
 def render_float(column: Column, kind: str = "double") -> Column:
     """Shortest text of a float: ``100000000``, ``0.0001``, ``1e+15``, ``1.5e-07``."""
     text = column.cast("string")
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    mantissa = _without_fraction(F.substring_index(text, "E", 1))
     exponent = F.substring_index(text, "E", -1).try_cast("int")
-    plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
     size = F.abs(column)
+    short = _without_fraction(text)
+    if kind == "float":
+        # Spark writes single floats without an exponent up to ten million.
+        digits = F.regexp_replace(text, r"^(-?\d)(\d{6})\.(\d+)$", "$1.$2$3")
+        millions = (size >= SCIENTIFIC_FROM[kind]) & (size < 1e7)
+        short = F.when(millions, F.concat(_without_fraction(digits), F.lit("e+06"))).otherwise(short)
     return (
-        F.when(~text.contains("E"), F.regexp_replace(text, r"\.0$", ""))
-        .when((size >= SCIENTIFIC_BELOW) & (size < SCIENTIFIC_FROM[kind]), plain)
+        F.when(~text.contains("E"), short)
+        .when(
+            (size >= SCIENTIFIC_BELOW) & (size < SCIENTIFIC_FROM[kind]),
+            _without_fraction(text.try_cast("decimal(38,20)").cast("string")),
+        )
         .otherwise(F.concat(mantissa, F.format_string("e%+03d", exponent)))
     )
 
 
+def _without_fraction(text: Column) -> Column:
+    """A decimal text without trailing zeros: ``1.50`` as ``1.5``, ``20.0`` as ``20``."""
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+
+
 def render(column: Column, data_type: T.DataType, bool_style: str = "tf") -> Column:
     """The text of one column; NULL stays NULL."""
     if isinstance(data_type, T.StringType):

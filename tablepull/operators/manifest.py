@@ -30,7 +30,8 @@ def targets_of(spark: SparkSession, specs: Iterable[TableSpec]) -> DataFrame:
 
 def with_targets(listing: DataFrame, targets: DataFrame) -> DataFrame:
     """The listing with clean names. Key columns are those configured, and cannot be NULL."""
-    joined = listing.drop("primary_key").join(targets, TABLE)
+    by = [*TABLE, "destination"] if "destination" in listing.columns else TABLE
+    joined = listing.drop("primary_key").join(targets, by)
     # Keys may be given by their source name or by their clean name.
     clean = sanitized(F.col("column_name"))
     is_key = F.array_contains("keys", F.col("column_name")) | F.array_contains("keys", clean)
@@ -120,7 +121,7 @@ def manifest_documents(listing: DataFrame, targets: DataFrame, typed: bool = Fal
             ("column_metadata", per_column),
         ]
     )
-    return tables.select(*TABLE, document.alias("manifest"))
+    return tables.select(*TABLE, "destination", document.alias("manifest"))
 
 
 def _per_table(described: DataFrame, body: Column) -> DataFrame:
@@ -159,7 +160,7 @@ def _typed(described: DataFrame, query_form: bool, prefix: str) -> DataFrame:
         *([] if query_form else [table_facts.alias("table_metadata")]),
         F.transform("entries", lambda e: e["body"]).alias("schema"),
     )
-    return tables.select(*TABLE, F.to_json(document).alias("manifest"))
+    return tables.select(*TABLE, "destination", F.to_json(document).alias("manifest"))
 
 
 def typed_columns(listing: DataFrame, targets: DataFrame) -> DataFrame:

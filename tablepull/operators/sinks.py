@@ -12,17 +12,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablepull.functions.names import qcol, quoted
-from tablepull.functions.render import render, render_text
+from tablepull.functions.render import render
 
 # Stands for NULL while reading; no text can hold it, as text has no NUL.
 NULL_MARK = "\u0000"
 # Files with line breaks inside values are read whole by one task, so none may grow large.
 RECORDS_PER_FILE = 1_000_000
+MAY_HOLD_QUOTES = (T.StringType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
 READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -36,11 +37,22 @@ READ_OPTIONS = {
 }
 
 
-def csv_line(columns: Sequence[Column]) -> Column:
-    """One CSV record from columns that are text."""
-    quote = F.lit('"')
-    cells = [F.coalesce(F.concat(quote, F.replace(c, quote, F.lit('""')), quote), F.lit("")) for c in columns]
-    return F.concat_ws(",", *cells)
+def csv_lines(df: DataFrame, bool_style: str = "tf") -> DataFrame:
+    """One CSV record per row, in the column ``value``.
+
+    Only texts can hold a quote, so only they are searched for one. A row without NULLs,
+    the common case, is put together at once; ``concat`` is NULL for all others.
+    """
+    quote, texts = F.lit('"'), []
+    for field in df.schema.fields:
+        text = render(qcol(field.name), field.dataType, bool_style)
+        if isinstance(field.dataType, MAY_HOLD_QUOTES):
+            text = F.replace(text, quote, F.lit('""'))
+        texts.append(text)
+    full = [piece for text in texts for piece in (F.lit('","'), text)][1:]
+    cells = [F.coalesce(F.concat(quote, text, quote), F.lit("")) for text in texts]
+    line = F.coalesce(F.concat(quote, *full, quote), F.concat_ws(",", *cells))
+    return df.select(line.alias("value"))
 
 
 @dataclass(frozen=True)
@@ -62,8 +74,7 @@ def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style
         data_type = next(f.dataType for f in df.schema.fields if f.name == watermark)
         measures.append(F.max(qcol(watermark)).alias("last_value"))
     observed = df.observe(observation, *measures)
-    text = render_text(observed, bool_style)
-    lines = text.select(csv_line([qcol(name) for name in text.columns]).alias("value"))
+    lines = csv_lines(observed, bool_style)
     if single_file:
         lines = lines.coalesce(1)
     lines.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)
@@ -93,7 +104,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
 
 
 def check_arity(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Records per file, and how many of them have too few or too many values."""
+    """Records per file; how many have too few or too many values; how many have none at all."""
     schema = ", ".join(f"{quoted(name)} STRING" for name in [*columns, "_corrupt_record"])
     records = (
         spark.read.options(**READ_OPTIONS)
@@ -102,10 +113,19 @@ def check_arity(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
         .schema(schema)
         .csv(path)
     )
+    values = [qcol(name) for name in columns]
+    blank = F.coalesce(*values, F.lit(None)).isNull()
+    # The length keeps every value in the scan: a record is checked in full only if all
+    # its values are read.
+    bad = F.col("_corrupt_record").isNotNull() & (F.length(F.concat_ws("", *values)) >= 0)
     return (
-        records.select(F.input_file_name().alias("file"), "_corrupt_record", *[qcol(name) for name in columns])
+        records.select(F.input_file_name().alias("file"), bad.alias("bad"), (blank & ~bad).alias("blank"))
         .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("records"), F.count("_corrupt_record").alias("bad_records"))
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if("bad").alias("bad_records"),
+            F.count_if("blank").alias("blank_records"),
+        )
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepull.functions.names import project, qcol, sanitize_columns
+from tablepull.functions.names import project, sanitize_columns
 from tablepull.functions.render import render_bool, render_text
 from tablepull.operators.catalog import first_column, list_columns, list_tables, nest_columns, pk_flags, with_defaults
 from tablepull.operators.increment import (
@@ -23,7 +23,7 @@ from tablepull.operators.keys import first_per_key, key_violations
 from tablepull.operators.load import appended, load, replaced, upserted
 from tablepull.operators.manifest import manifest_documents, manifest_entries, typed_columns
 from tablepull.operators.profile import column_profile, column_profile_approx
-from tablepull.operators.sinks import check_arity, csv_line, read_csv, write_csv
+from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
 from tablepull.operators.toplimit import limit_batch
 from tablepull.plans.acceptance import ACCEPTANCE, VIEWS
 from tablepull.plans.estate import estate, estate_targets
@@ -208,9 +208,8 @@ def text_render_decimal(spark, sf_dir):
 
 
 @query
-def csv_lines(spark, sf_dir):
-    text = render_text(table(spark, sf_dir, "documents"))
-    return text.select(csv_line([qcol(name) for name in text.columns]).alias("line"))
+def csv_lines_(spark, sf_dir):
+    return csv_lines(table(spark, sf_dir, "documents"))
 
 
 def _roundtrip(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -243,7 +242,7 @@ def csv_arity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     write_csv(documents, path)
     files = check_arity(spark, path, documents.columns)
-    return files.agg(F.sum("records").alias("records"), F.sum("bad_records").alias("bad_records"))
+    return files.agg(*[F.sum(name).alias(name) for name in ("records", "bad_records", "blank_records")])
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,72 +34,93 @@ def source_of(spark: SparkSession, spec: TableSpec, resolve: Resolver, views: Ma
     return scan_query(spark, spec.query, views) if spec.query else scan_table(resolve, spec)
 
 
-def export_table(spark: SparkSession, spec: TableSpec, resolve: Resolver, out_dir: str, state: Mapping[str, str] | None = None, views: Mapping[str, DataFrame] | None = None, listing: DataFrame | None = None, typed: bool = False, prefix: str = "") -> TableResult:
-    """Exports one table to ``<out_dir>/<output table>.csv`` with its manifest and state.
+def export_table(spark: SparkSession, spec: TableSpec, df: DataFrame, out_dir: str, state: Mapping[str, str] | None = None) -> TableResult:
+    """Exports one table to ``<out_dir>/<output table>.csv`` and keeps its new state beside it.
 
-    ``listing`` describes the source where a catalogue exists; the frame's own schema is
-    used otherwise. Rows and mark are counted by the job that writes the files.
+    Rows and mark are counted by the job that writes the files. An empty increment keeps
+    the old state and writes neither files nor a state.
     """
-    df = source_of(spark, spec, resolve, views or {})
     sanitize_names(df.columns)
-    if spec.primary_key:
-        clean = sanitize_names(df.columns)
-        check_keys(df if set(spec.primary_key) <= set(df.columns) else df.toDF(*clean), spec.primary_key)
     old = (state or {}).get(STATE_KEY) if spec.increment_column else None
-    batch, high = df, None
+    batch = df
     if spec.increment_column:
-        increment_type(df, spec.increment_column)
-        planned = plan_increment(df, spec.increment_column, old, spec.increment_limit, spec.tie_break)
-        batch, high = planned.batch, planned.high
+        batch = plan_increment(df, spec.increment_column, old, spec.increment_limit, spec.tie_break).batch
 
-    path = f"{out_dir.rstrip('/')}/{spec.output_table}.csv"
-    result = write_csv(batch, path, spec.increment_column, spec.bool_style)
+    path = f"{out_dir.rstrip('/')}/{spec.output_table}"
+    result = write_csv(batch, f"{path}.csv", spec.increment_column, spec.bool_style)
     guard_progress(result.rows, spec.increment_limit, old, result.last_value, spec.increment_column or "")
-
     new = dict(state or {})
-    if spec.increment_column and (result.last_value or high):
-        new[STATE_KEY] = result.last_value or high
-        write_document(spark, new, f"{out_dir.rstrip('/')}/{spec.output_table}.state.json")
-    manifest = describe(spark, spec, df, listing, typed, prefix)
-    write_document(spark, manifest, f"{path}.manifest")
+    if result.last_value is not None:
+        new[STATE_KEY] = result.last_value
+        write_document(spark, new, f"{path}.state.json")
     warning = None if result.rows else f'Query result set is empty. Exported "0" rows to "{spec.output_table}".'
     return TableResult(spec.output_table, result.rows, new, warning)
 
 
-def describe(spark: SparkSession, spec: TableSpec, df: DataFrame, listing: DataFrame | None = None, typed: bool = False, prefix: str = "") -> str:
-    """The manifest of one export as JSON text."""
+def describe(spark: SparkSession, sources: Mapping[TableSpec, DataFrame], listing: DataFrame | None = None, typed: bool = False, prefix: str = "") -> dict[str, str]:
+    """The manifests of some exports as JSON texts, by output table.
+
+    ``listing`` describes the sources where a catalogue exists; the schemas of the frames
+    are used otherwise, and for queries always.
+    """
+    manifests: dict[str, str] = {}
+    for query_form in (False, True):
+        specs = [spec for spec in sources if bool(spec.query) == query_form]
+        if not specs:
+            continue
+        parts = [_described(spark, spec, sources[spec], listing) for spec in specs]
+        rows = manifest_documents(reduce(DataFrame.unionByName, parts), targets_of(spark, specs), typed, query_form, prefix)
+        manifests.update({row["destination"]: row["manifest"] for row in rows.collect()})
+    missing = [spec.output_table for spec in sources if spec.output_table not in manifests]
+    if missing:
+        raise SpecError(f'The table of "{missing[0]}" was not found in the catalogue.')
+    return manifests
+
+
+def _described(spark: SparkSession, spec: TableSpec, df: DataFrame, listing: DataFrame | None) -> DataFrame:
     schema, table = spec.schema or "", spec.table or spec.output_table
     if listing is None or spec.query:
-        listing = listing_of(spark, {(schema, table): df})
+        own = listing_of(spark, {(schema, table): df})
         if spec.query:
-            listing = listing.withColumn("nullable", F.lit(True))
+            own = own.withColumn("nullable", F.lit(True))
     else:
-        listing = listing.filter((F.col("table_schema") == schema) & (F.col("table_name") == table))
-        if spec.columns:
-            # The lists follow the exported order; the positions stay the source's own.
-            wanted = F.array(*[F.lit(name) for name in spec.columns])
-            listing = listing.withColumn("export_position", F.array_position(wanted, F.col("column_name")))
-            listing = listing.filter(F.col("export_position") > 0)
-    rows = manifest_documents(listing, targets_of(spark, [spec]), typed, bool(spec.query), prefix)
-    found = rows.first()
-    if found is None:
-        raise SpecError(f'Table "{schema}.{table}" was not found.')
-    return found["manifest"]
-
-
-def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver, out_dir: str, states: Mapping[str, Mapping[str, str]] | None = None, views: Mapping[str, DataFrame] | None = None, parallel: int = 4, **options) -> list[TableResult]:
-    """Exports all enabled specs. The jobs are independent, so some run side by side."""
+        own = listing.filter((F.col("table_schema") == schema) & (F.col("table_name") == table))
+    position = F.col("ordinal_position")
+    if spec.columns:
+        # The lists follow the exported order; the positions stay the source's own.
+        position = F.array_position(F.array(*[F.lit(name) for name in spec.columns]), F.col("column_name")).cast("int")
+    own = own.withColumn("export_position", position).filter(F.col("export_position") != 0)
+    return own.withColumn("destination", F.lit(spec.output_table))
+
+
+def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver, out_dir: str, states: Mapping[str, Mapping[str, str]] | None = None, views: Mapping[str, DataFrame] | None = None, listing: DataFrame | None = None, typed: bool = False, prefix: str = "", parallel: int = 4) -> list[TableResult]:
+    """Exports all enabled specs. The jobs are independent, so some run side by side.
+
+    All requests are checked before the first row is read.
+    """
     enabled = [spec for spec in specs if spec.enabled]
     names = [spec.output_table for spec in enabled]
     if len(set(names)) < len(names):
         raise SpecError("Two specs write to one output table.")
-    states = states or {}
+    sources = {spec: source_of(spark, spec, resolve, views or {}) for spec in enabled}
+    for spec, df in sources.items():
+        clean = sanitize_names(df.columns)
+        if spec.primary_key:
+            check_keys(df if set(spec.primary_key) <= set(df.columns) else df.toDF(*clean), spec.primary_key)
+        if spec.increment_column:
+            increment_type(df, spec.increment_column)
 
     def export(spec: TableSpec) -> TableResult:
-        return export_table(spark, spec, resolve, out_dir, states.get(spec.output_table), views, **options)
+        return export_table(spark, spec, sources[spec], out_dir, (states or {}).get(spec.output_table))
+
+    def keep(named: tuple[str, str]) -> None:
+        write_document(spark, named[1], f"{out_dir.rstrip('/')}/{named[0]}.csv.manifest")
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
-        return list(pool.map(export, enabled))
+        described = pool.submit(describe, spark, sources, listing, typed, prefix)
+        results = list(pool.map(export, enabled))
+        list(pool.map(keep, described.result().items()))
+    return results
 
 
 def table_counts(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver, views: Mapping[str, DataFrame] | None = None) -> DataFrame:

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
 
+# Settings worth having on any cluster. A stage whose generated method is too long for
+# the JVM to compile runs interpreted; below the limit Spark generates it in parts.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 # Below this size a join side may be copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -23,7 +32,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=RECOMMENDED_CONF)
         .getOrCreate()
     )
 
