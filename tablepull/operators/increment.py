@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tablepull.functions.names import qcol
 from tablepull.functions.render import render
 from tablepull.functions.types import INCREMENT_BASE_TYPES, base_type_of
+from tablepull.messages import COLUMN_NOT_FOUND, UNEXPECTED_TYPE
 from tablepull.operators.toplimit import limit_batch
 from tablepull.spec import SpecError
 
@@ -22,12 +23,12 @@ from tablepull.spec import SpecError
 def increment_type(df: DataFrame, column: str) -> T.DataType:
     """Type of the increment column, which must exist and be a number or a timestamp."""
     if column not in df.columns:
-        raise SpecError(f'Column "{column}" specified for incremental fetching was not found in the table')
+        raise SpecError(COLUMN_NOT_FOUND.format(column=column))
     data_type = next(f.dataType for f in df.schema.fields if f.name == column)
     kind = base_type_of(data_type)
     if kind not in INCREMENT_BASE_TYPES:
         expected = '", "'.join(INCREMENT_BASE_TYPES)
-        raise SpecError(f'Column "{column}" specified for incremental fetching has unexpected type "{kind}", expected: "{expected}".')
+        raise SpecError(UNEXPECTED_TYPE.format(column=column, type=kind, expected=expected))
     return data_type
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
 from tablepull.operators.keys import check_keys, first_per_key
-from tablepull.session import broadcast_if_small, shared_dir
+from tablepull.session import broadcast_if_small, path_exists, remove_path, shared_dir
 from tablepull.spec import SpecError
 
 MODES = ("replace", "append", "upsert")
@@ -30,65 +30,68 @@ def appended(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch)
 
 
-def upserted(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+def upserted(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
     """The target with the rows of the batch put in by key; the last row per key wins.
 
-    ``order`` says which row of the batch is the last; any other columns only make the
+    ``order`` says which row of the batch is the last; a hash of the row only makes the
     choice repeatable. Keys are made distinct before the join, so a key the batch repeats
     often is one row there. A small key set is copied to the target's tasks and the
     target is not shuffled at all; a large one is joined by shuffle, where adaptive
-    execution splits uneven parts.
+    execution splits uneven parts. ``cluster_by`` gathers the batch's rows for a
+    partitioned write; the target's rows come from their partitions already.
     """
     check_keys(target, keys)
-    check_keys(batch, keys)
-    stable = F.xxhash64(*[qcol(name) for name in batch.columns])
-    latest = first_per_key(batch, keys, [*order, stable])
+    latest = latest_per_key(batch, keys, order)
+    if cluster_by:
+        latest = latest.hint("rebalance", *cluster_by)
     names = [qcol(name) for name in keys]
     changed = broadcast_if_small(batch.select(*names).distinct(), measured=batch.select(*names))
     kept = target.join(changed, list(keys), "left_anti")
     return kept.select(*[qcol(name) for name in target.columns]).unionByName(latest)
 
 
+def latest_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    check_keys(batch, keys)
+    return first_per_key(batch, keys, [*order, F.xxhash64(*[qcol(name) for name in batch.columns])])
+
+
 def load(spark: SparkSession, batch: DataFrame, path: str, mode: str, keys: Sequence[str] = (), order: Sequence[Column] = (), partition_by: Sequence[str] = ()) -> None:
     """Loads a batch into a Parquet target.
 
     An upsert into a partitioned target reads and rewrites only the partitions the batch
     touches; the partition columns must be part of the key, so that a key never changes
     its partition. Without partitions the whole target is rewritten by way of the shared
-    folder, since a table cannot be overwritten while it is read.
+    folder, since a table cannot be overwritten while it is read. Rows are gathered by
+    partition before the write, uneven partitions being split, so that a partition gets
+    few files and none is written by one task alone.
     """
     if mode not in MODES:
         raise SpecError(f'Unknown load mode "{mode}".')
-    if mode == "upsert":
-        check_keys(batch, keys)
-        if not set(partition_by) <= set(keys):
-            raise SpecError("The partition columns of an upsert must belong to its key.")
-        if not _exists(spark, path):
-            stable = F.xxhash64(*[qcol(name) for name in batch.columns])
-            first_per_key(batch, keys, [*order, stable]).write.partitionBy(*partition_by).parquet(path)
-            return
-        target = spark.read.schema(batch.schema).parquet(path)
-        if partition_by:
-            parts = [qcol(name) for name in partition_by]
-            touched = batch.select(*parts).distinct()
-            # One row per touched folder of the target; the scan skips all other folders.
-            current = target.join(broadcast_if_small(touched), list(partition_by), "left_semi")
-            merged = upserted(current.select(*[qcol(n) for n in target.columns]), batch, keys, order)
-            (
-                merged.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*partition_by)
-                .parquet(path)
-            )
-            return
-        staged = shared_dir(spark, "upsert")
-        upserted(target, batch, keys, order).write.parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    if mode != "upsert":
+        _write(batch, "overwrite" if mode == "replace" else "append", path, partition_by)
+        return
+    check_keys(batch, keys)
+    if not set(partition_by) <= set(keys):
+        raise SpecError("The partition columns of an upsert must belong to its key.")
+    if not path_exists(spark, path):
+        _write(latest_per_key(batch, keys, order), "errorifexists", path, partition_by)
+        return
+    target = spark.read.schema(batch.schema).parquet(path).select(*[qcol(name) for name in batch.columns])
+    if partition_by:
+        touched = batch.select(*[qcol(name) for name in partition_by]).distinct()
+        # One row per touched folder of the target; the scan skips all other folders.
+        current = target.join(broadcast_if_small(touched), list(partition_by), "left_semi").select(target.columns)
+        merged = upserted(current, batch, keys, order, partition_by)
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).parquet(path)
         return
-    writer = batch.write.mode("overwrite" if mode == "replace" else "append")
-    writer.partitionBy(*partition_by).parquet(path)
+    staged = shared_dir(spark, "upsert")
+    upserted(target, batch, keys, order).write.parquet(staged)
+    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    remove_path(spark, staged)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _write(df: DataFrame, mode: str, path: str, partition_by: Sequence[str]) -> None:
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)

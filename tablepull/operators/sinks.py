@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tablepull.functions.names import qcol, quoted
 from tablepull.functions.render import render
+from tablepull.session import remove_path
 
 # Stands for NULL while reading; no text can hold it, as text has no NUL.
 NULL_MARK = "\u0000"
@@ -83,7 +84,7 @@ def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style
     if watermark is not None and facts.get("last_value") is not None:
         last = _mark_text(df.sparkSession, facts["last_value"], data_type)
     if not facts["rows"]:
-        _remove(df.sparkSession, path)
+        remove_path(df.sparkSession, path)
     return ExportResult(facts["rows"], last, path if facts["rows"] else None)
 
 
@@ -92,11 +93,6 @@ def _mark_text(spark: SparkSession, value: Any, data_type: T.DataType) -> str:
     return frame.select(render(F.col("v"), data_type).alias("v")).first()["v"]
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Files written by ``write_csv``, every column as text."""
     schema = ", ".join(f"{quoted(name)} STRING" for name in columns)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepull.functions.names import sanitize_names
+from tablepull.messages import EMPTY_RESULT
 from tablepull.operators.catalog import listing_of
 from tablepull.operators.increment import guard_progress, increment_type, plan_increment
 from tablepull.operators.keys import check_keys
@@ -53,7 +54,7 @@ def export_table(spark: SparkSession, spec: TableSpec, df: DataFrame, out_dir: s
     if result.last_value is not None:
         new[STATE_KEY] = result.last_value
         write_document(spark, new, f"{path}.state.json")
-    warning = None if result.rows else f'Query result set is empty. Exported "0" rows to "{spec.output_table}".'
+    warning = None if result.rows else EMPTY_RESULT.format(table=spec.output_table)
     return TableResult(spec.output_table, result.rows, new, warning)
 
 

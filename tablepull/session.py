@@ -66,6 +66,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tablepull-{purpose}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES, measured: DataFrame | None = None) -> DataFrame:
     """Marks ``df`` for broadcast if its measured size allows it, else leaves it as it is.
 

@@ -126,10 +126,10 @@ def auto_listing(catalog):
 
 
 def test_classic_manifest(spark, catalog):
-    spec = TableSpec("in.c-main.auto", schema="public", table="auto Increment", incremental=True, primary_key=("_Weir%d I-D",))
+    spec = TableSpec("out.auto", schema="public", table="auto Increment", incremental=True, primary_key=("_Weir%d I-D",))
     document = json.loads(manifest_documents(auto_listing(catalog), targets_of(spark, [spec]), prefix="x.").first()["manifest"])
     assert list(document) == ["destination", "incremental", "metadata", "columns", "primary_key", "column_metadata"]
-    assert document["destination"] == "in.c-main.auto" and document["incremental"] is True
+    assert document["destination"] == "out.auto" and document["incremental"] is True
     assert document["metadata"] == [
         {"key": "x.name", "value": "auto Increment"}, {"key": "x.sanitizedName", "value": "auto_Increment"},
         {"key": "x.schema", "value": "public"}, {"key": "x.type", "value": "table"},
@@ -162,8 +162,8 @@ def test_typed_manifest(spark, catalog):
 
 
 def test_query_manifest(spark, escaping):
-    spec = TableSpec("in.c-main.escaping", query="SELECT * FROM escaping", primary_key=("col1",))
-    document = json.loads(describe(spark, {spec: escaping})["in.c-main.escaping"])
+    spec = TableSpec("out.escaping", query="SELECT * FROM escaping", primary_key=("col1",))
+    document = json.loads(describe(spark, {spec: escaping})["out.escaping"])
     assert "metadata" not in document and document["primary_key"] == ["col1"]
     keys = ["datatype.nullable", "datatype.basetype", "sourceName", "sanitizedName", "uniqueKey"]
     assert [e["key"] for e in document["column_metadata"]["col1"]] == keys
