@@ -26,10 +26,8 @@ def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] =
     order = [column, *tie_break]
     if n <= heap_rows:
         return df.orderBy(*[qcol(name).asc_nulls_last() for name in order]).limit(n)
-    keys = [qcol(name) for name in order]
-    if all(_hashable(field.dataType) for field in df.schema.fields):
-        # Rows that differ in none of the order columns still need some fixed order.
-        keys.append(F.xxhash64(*[qcol(name) for name in df.columns]))
+    # Rows that differ in none of the order columns still need some fixed order.
+    keys = [*[qcol(name) for name in order], F.xxhash64(*[_hashable(field) for field in df.schema.fields])]
     inside, tied = F.lit(False), F.lit(True)
     need = n
     for key in keys:
@@ -44,8 +42,9 @@ def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] =
     return df.filter(inside).unionByName(_some(df.filter(tied), need, heap_rows))
 
 
-def _hashable(data_type: T.DataType) -> bool:
-    return "map" not in data_type.simpleString() and "variant" not in data_type.simpleString()
+def _hashable(field: T.StructField) -> Column:
+    kind = field.dataType.simpleString()
+    return F.to_json(qcol(field.name)) if "map<" in kind or "variant" in kind else qcol(field.name)
 
 
 @dataclass(frozen=True)
@@ -82,10 +81,8 @@ def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
             text = window.orderBy(k.desc()).limit(size - rank + 1).agg(_to_text(F.min("k"), data_type)).first()[0]
             break
         splitters = [_from_text(item, data_type) for item in _splitters(window, size, data_type)]
-        slot = F.lit(2 * len(splitters))
-        for i in reversed(range(len(splitters))):
-            slot = F.when(k < splitters[i], 2 * i).when(k == splitters[i], 2 * i + 1).otherwise(slot)
-        counts = {row["slot"]: row["count"] for row in window.groupBy(slot.alias("slot")).count().collect()}
+        slots = window.groupBy(_slot(k, splitters, 0, len(splitters)).alias("slot")).count()
+        counts = {row["slot"]: row["count"] for row in slots.collect()}
         chosen = 0
         while before + counts.get(chosen, 0) < n:
             before += counts.get(chosen, 0)
@@ -104,16 +101,29 @@ def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
     return _Cut(key < value, key == value, before + below, equal)
 
 
+def _slot(k: Column, splitters: list[Column], first: int, last: int) -> Column:
+    """Odd for the splitter a key equals, even for the gap it lies in; by bisection."""
+    if first == last:
+        return F.lit(2 * first)
+    middle = (first + last) // 2
+    return (
+        F.when(k < splitters[middle], _slot(k, splitters, first, middle))
+        .when(k == splitters[middle], 2 * middle + 1)
+        .otherwise(_slot(k, splitters, middle + 1, last))
+    )
+
+
 def _splitters(window: DataFrame, size: int, data_type: T.DataType) -> list[str]:
     """Up to 64 values spread over the window. They steer the search; the counts decide."""
     fraction = min(1.0, SAMPLES / size)
     sample = window.sample(fraction=fraction, seed=size % 1_000_003) if fraction < 1 else window
-    ordered = sample.limit(4 * SAMPLES).orderBy("k").select(_to_text(F.col("k"), data_type).alias("t"))
-    texts = [row["t"] for row in ordered.collect()]
-    if not texts:
-        texts = [window.select(_to_text(F.col("k"), data_type).alias("t")).first()["t"]]
-    step = max(len(texts) // SPLITTERS, 1)
-    return list(dict.fromkeys(texts[step // 2 :: step]))
+    drawn = sample.limit(4 * SAMPLES).agg(F.sort_array(F.collect_list("k")).alias("ks")).select("ks", F.size("ks").alias("n"))
+    step = F.greatest(F.floor(F.col("n") / SPLITTERS), F.lit(1)).cast("int")
+    spread = F.filter("ks", lambda _, i: i % step == F.floor(step / 2)).alias("ks")
+    row = drawn.select(F.transform(spread, lambda k: _to_text(k, data_type)).alias("texts")).first()
+    if row["texts"]:
+        return list(dict.fromkeys(row["texts"]))
+    return [window.select(_to_text(F.col("k"), data_type).alias("t")).first()["t"]]
 
 
 def _to_text(column: Column, data_type: T.DataType) -> Column:
@@ -140,9 +150,8 @@ def _some(df: DataFrame, n: int, heap_rows: int) -> DataFrame:
     # Copies of a row fold into one row per task before the shuffle; what is left is one
     # row, or a few if a hash collides.
     rows = df.groupBy(*[qcol(name) for name in names]).agg(F.count(F.lit(1)).alias("__copies"))
-    earlier = F.sum("__copies").over(
-        Window.orderBy(*[qcol(name) for name in names]).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    fixed_order = Window.orderBy(*[_hashable(field) for field in df.schema.fields])
+    earlier = F.sum("__copies").over(fixed_order.rowsBetween(Window.unboundedPreceding, -1))
     take = F.least(F.col("__copies"), F.lit(n) - F.coalesce(earlier, F.lit(0)))
     blocks = rows.withColumn("__take", take).filter("__take > 0").withColumn(
         "__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__take") - 1) / COPIES_PER_ROW)))

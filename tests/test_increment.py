@@ -110,14 +110,14 @@ def cut(df, n, heap_rows=5, column="k", tie_break=()):
     return [tuple(r) for r in limit_batch(df, column, n, tie_break, heap_rows=heap_rows).collect()]
 
 
-@pytest.mark.parametrize("n", [6, 100, 333, 900, 999, 1000, 1500])
+@pytest.mark.parametrize("n", [6, 333, 999, 1000])
 def test_large_limit_unique(spark, n):
     rows = [(i * 7919 % 1000, f"x{i}") for i in range(1000)]
     df = spark.createDataFrame(rows, "k int, t string").repartition(4)
     assert sorted(cut(df, n)) == first_rows(rows, n, 0)
 
 
-@pytest.mark.parametrize("n", [10, 200, 450, 800, 950, 990])
+@pytest.mark.parametrize("n", [10, 450, 950])
 def test_large_limit_with_a_hot_value_and_nulls(spark, n):
     rnd = random.Random(n)
     keys = [50] * 400 + [None] * 100 + [rnd.randrange(100) for _ in range(500)]
@@ -158,6 +158,23 @@ def test_large_limit_of_timestamps(spark):
         assert sorted(r[1] for r in limit_batch(df, "k", 321, heap_rows=5).collect()) == list(range(321))
 
 
+def test_large_limit_with_maps_and_many_copies(spark):
+    df = spark.range(900).select(F.lit(1).alias("k"), F.create_map(F.lit("a"), F.col("id") % 3).alias("m"))
+    assert limit_batch(df, "k", 700, heap_rows=5).count() == 700
+
+
+def test_state_of_zoned_timestamps_and_floats(spark):
+    df = spark.range(10).select(
+        F.timestamp_micros(1_600_000_000_000_000 + F.col("id") * 1_500_000).alias("at"),
+        (F.col("id") * 2.5e15).alias("d"),
+    )
+    for column in ("at", "d"):
+        _, state = run_increment(df, column, None, 4)
+        batch, after = run_increment(df, column, state)
+        assert batch.count() == 7 and after != state
+    assert run_increment(df, "at", None)[1] == "2020-09-13 12:26:53.5+00"
+
+
 def test_large_limit_is_a_filter_and_no_sort(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     plan = limit_batch(lines, "l_extendedprice", 3000, heap_rows=100)._jdf.queryExecution().toString()
