@@ -117,11 +117,12 @@ class Increment:
 def plan_increment(df: DataFrame, column: str, state: str | None, limit: int | None = None, tie_break: tuple[str, ...] = ()) -> Increment:
     """The rows of the next run.
 
-    An unlimited run is bounded by the mark read before it. A limited run takes the
-    first ``limit`` rows in column order; its mark is known once it is written.
+    An unlimited run is bounded by the mark read before it, looked up among the new rows
+    only. A limited run takes the first ``limit`` rows in column order; its mark is known
+    once it is written.
     """
     if limit is None:
-        high = read_mark(max_watermark(df, column))
+        high = read_mark(max_watermark(since(df, column, state), column))
         return Increment(bounded_increment(df, column, state, high), high)
     return Increment(limit_batch(since(df, column, state), column, limit, tie_break), None)
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
+from tablepull.functions.rows import row_hash
 from tablepull.operators.keys import check_keys, first_per_key
 from tablepull.session import broadcast_if_small, path_exists, remove_path, shared_dir
 from tablepull.spec import SpecError
@@ -52,7 +52,7 @@ def upserted(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Se
 
 def latest_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     check_keys(batch, keys)
-    return first_per_key(batch, keys, [*order, F.xxhash64(*[qcol(name) for name in batch.columns])])
+    return first_per_key(batch, keys, [*order, row_hash(batch)])
 
 
 def load(spark: SparkSession, batch: DataFrame, path: str, mode: str, keys: Sequence[str] = (), order: Sequence[Column] = (), partition_by: Sequence[str] = ()) -> None:

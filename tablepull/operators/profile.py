@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,38 +12,54 @@ from tablepull.functions.names import qcol
 from tablepull.functions.render import render
 
 
+# A longer text is counted by its digest, so that it need not be shuffled.
+LONG_TEXT = 64
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Rows, NULLs, distinct values, smallest and largest value, longest text of each column.
 
     Every column is scanned by itself (a columnar file is read once in all) and its values
     are counted first. Repeated values are folded before the shuffle, and no row is
-    multiplied as it would be by several distinct counts in one aggregation.
+    multiplied as it would be by several distinct counts in one aggregation. Texts are
+    scanned once more for their extremes, so that only short texts and digests travel.
     """
-    parts = []
-    for field in df.schema.fields:
-        value, n = F.col("value"), F.col("n")
-        counts = df.groupBy(qcol(field.name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        text = isinstance(field.dataType, T.StringType)
-        facts = counts.agg(
-            F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulls"),
-            F.count(value).alias("distinct_values"),
-            F.min(value).alias("lowest"),
-            F.max(value).alias("highest"),
-            (F.max(F.length(value)) if text else F.lit(None)).cast("int").alias("max_length"),
-        )
-        parts.append(
-            facts.select(
-                F.lit(field.name).alias("column_name"),
-                "rows",
-                "nulls",
-                "distinct_values",
-                render(F.col("lowest"), field.dataType).alias("min_value"),
-                render(F.col("highest"), field.dataType).alias("max_value"),
-                "max_length",
-            )
+    return reduce(DataFrame.unionAll, [_profile(df, field) for field in df.schema.fields])
+
+
+def _profile(df: DataFrame, field: T.StructField) -> DataFrame:
+    column = qcol(field.name)
+    if isinstance(field.dataType, T.StringType):
+        digest = F.concat(F.lit("#"), F.sha2(column, 256))
+        value = F.when(F.length(column) > LONG_TEXT, digest).otherwise(column)
+        counted = _counts(df, value, extremes=False)
+        scanned = df.agg(
+            F.min(column).alias("lowest"), F.max(column).alias("highest"), F.max(F.length(column)).alias("max_length")
         )
-    return reduce(DataFrame.unionAll, parts)
+        both = counted.unionByName(scanned, allowMissingColumns=True)
+        facts = both.agg(*[F.max(name).alias(name) for name in both.columns])
+    else:
+        facts = _counts(df, column, extremes=True).withColumn("max_length", F.lit(None).cast("int"))
+    return facts.select(
+        F.lit(field.name).alias("column_name"),
+        "rows",
+        "nulls",
+        "distinct_values",
+        render(F.col("lowest"), field.dataType).alias("min_value"),
+        render(F.col("highest"), field.dataType).alias("max_value"),
+        "max_length",
+    )
+
+
+def _counts(df: DataFrame, column: Column, extremes: bool) -> DataFrame:
+    value, n = F.col("value"), F.col("n")
+    counts = df.groupBy(column.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulls"),
+        F.count(value).alias("distinct_values"),
+        *([F.min(value).alias("lowest"), F.max(value).alias("highest")] if extremes else []),
+    )
 
 
 def column_profile_approx(df: DataFrame, error: float = 0.05) -> DataFrame:

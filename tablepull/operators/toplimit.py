@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablepull.functions.names import qcol
+from tablepull.functions.rows import comparable, row_hash
+from tablepull.spec import SpecError
 
 # Up to this many rows one task may hold; a larger batch is cut by value instead.
 HEAP_ROWS = 10_000
@@ -27,7 +29,7 @@ def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] =
     if n <= heap_rows:
         return df.orderBy(*[qcol(name).asc_nulls_last() for name in order]).limit(n)
     # Rows that differ in none of the order columns still need some fixed order.
-    keys = [*[qcol(name) for name in order], F.xxhash64(*[_hashable(field) for field in df.schema.fields])]
+    keys = [*[qcol(name) for name in order], row_hash(df)]
     inside, tied = F.lit(False), F.lit(True)
     need = n
     for key in keys:
@@ -42,11 +44,6 @@ def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] =
     return df.filter(inside).unionByName(_some(df.filter(tied), need, heap_rows))
 
 
-def _hashable(field: T.StructField) -> Column:
-    kind = field.dataType.simpleString()
-    return F.to_json(qcol(field.name)) if "map<" in kind or "variant" in kind else qcol(field.name)
-
-
 @dataclass(frozen=True)
 class _Cut:
     below: Column
@@ -87,6 +84,8 @@ def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
         while before + counts.get(chosen, 0) < n:
             before += counts.get(chosen, 0)
             chosen += 1
+            if chosen > 2 * len(splitters):
+                raise SpecError("The table lost rows while the batch was being located; run it again.")
         i, exact = divmod(chosen, 2)
         if exact:
             return _Cut(key < splitters[i], key == splitters[i], before, counts[chosen])
@@ -150,7 +149,7 @@ def _some(df: DataFrame, n: int, heap_rows: int) -> DataFrame:
     # Copies of a row fold into one row per task before the shuffle; what is left is one
     # row, or a few if a hash collides.
     rows = df.groupBy(*[qcol(name) for name in names]).agg(F.count(F.lit(1)).alias("__copies"))
-    fixed_order = Window.orderBy(*[_hashable(field) for field in df.schema.fields])
+    fixed_order = Window.orderBy(*comparable(df))
     earlier = F.sum("__copies").over(fixed_order.rowsBetween(Window.unboundedPreceding, -1))
     take = F.least(F.col("__copies"), F.lit(n) - F.coalesce(earlier, F.lit(0)))
     blocks = rows.withColumn("__take", take).filter("__take > 0").withColumn(

@@ -126,12 +126,13 @@ def stride_predicates(column: str, cuts: Sequence[Any]) -> list[str]:
     return [f"{name} < {texts[0]} OR {name} IS NULL", *inner, f"{name} >= {texts[-1]}"]
 
 
-def stride_of(column: Column, cuts: Sequence[Any]) -> Column:
-    """Number of the stride a value falls into."""
-    stride = F.lit(0)
-    for cut in cuts:
-        stride = stride + F.when(column >= F.lit(cut), 1).otherwise(0)
-    return stride
+def stride_of(column: Column, cuts: Sequence[Any], first: int = 0) -> Column:
+    """Number of the stride a value falls into, by bisection; NULL falls into the first."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    above = stride_of(column, cuts[middle + 1 :], first + middle + 1)
+    return F.when(column >= F.lit(cuts[middle]), above).otherwise(stride_of(column, cuts[:middle], first))
 
 
 def stride_counts(df: DataFrame, column: str, cuts: Sequence[Any]) -> DataFrame:

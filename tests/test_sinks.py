@@ -148,6 +148,17 @@ def test_key_violations(spark):
     assert rows_of(key_violations(df, ["a", "b"])) == sorted([(1, 1, 2), (None, 3, 1), (2, None, 1)], key=str)
 
 
+def test_profile_of_long_texts(spark):
+    texts = ["x" * 64, "x" * 65, "x" * 65, "y" * 1000, "y" * 1000 + "z", None]
+    row = column_profile(spark.createDataFrame([(t,) for t in texts], "t string")).first()
+    assert tuple(row) == ("t", 6, 1, 4, "x" * 64, "y" * 1000 + "z", 1001)
+
+
+def test_upsert_of_maps(spark):
+    row = lambda i: spark.range(1).select("id", F.create_map(F.lit("a"), F.lit(i)).alias("m"))
+    assert rows_of(upserted(row(1), row(2).unionAll(row(2)), ["id"])) == [(0, {"a": 2})]
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "ccc", None), (None, "", 2.5)], "i int, s string, d double")
     expected = [("i", 3, 1, 1, "1", "1", None), ("s", 3, 0, 3, "", "ccc", 3), ("d", 3, 2, 1, "2.5", "2.5", None)]
