@@ -44,7 +44,7 @@ SERVER_QUERIES = {
     "reltype::bigint AS reltype, relnamespace::bigint AS relnamespace FROM pg_class",
     "attribute": "SELECT attrelid::bigint AS attrelid, attname::text AS attname, "
     "format_type(atttypid, atttypmod) AS type_with_length, attnotnull, attnum::int AS attnum, attisdropped FROM pg_attribute",
-    "index": "SELECT indrelid::bigint AS indrelid, indkey::int[] AS indkey, indisprimary FROM pg_index",
+    "index": "SELECT indrelid::bigint AS indrelid, string_to_array(indkey::text, ' ')::int[] AS indkey, indisprimary FROM pg_index",
     "attrdef": "SELECT adrelid::bigint AS adrelid, adnum::int AS adnum, pg_get_expr(adbin, adrelid) AS expr FROM pg_attrdef",
 }
 

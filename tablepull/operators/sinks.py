@@ -73,24 +73,16 @@ def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style
     measures = [F.count(F.lit(1)).alias("rows")]
     if watermark is not None:
         data_type = next(f.dataType for f in df.schema.fields if f.name == watermark)
-        measures.append(F.max(qcol(watermark)).alias("last_value"))
+        measures.append(render(F.max(qcol(watermark)), data_type).alias("last_value"))
     observed = df.observe(observation, *measures)
     lines = csv_lines(observed, bool_style)
     if single_file:
         lines = lines.coalesce(1)
     lines.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)
     facts = observation.get
-    last = None
-    if watermark is not None and facts.get("last_value") is not None:
-        last = _mark_text(df.sparkSession, facts["last_value"], data_type)
     if not facts["rows"]:
         remove_path(df.sparkSession, path)
-    return ExportResult(facts["rows"], last, path if facts["rows"] else None)
-
-
-def _mark_text(spark: SparkSession, value: Any, data_type: T.DataType) -> str:
-    frame = spark.createDataFrame([(value,)], T.StructType([T.StructField("v", data_type)]))
-    return frame.select(render(F.col("v"), data_type).alias("v")).first()["v"]
+    return ExportResult(facts["rows"], facts.get("last_value"), path if facts["rows"] else None)
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
