@@ -133,6 +133,11 @@ def list_columns(catalog: Catalog, system: bool = False, only: Pairs | DataFrame
     # All three joins start from the relation id, so the attributes are shuffled by it once.
     joined = attribute.join(relations, F.col("attrelid") == F.col("oid"))
     described = with_defaults(pk_flags(joined, catalog.index), catalog.attrdef)
+    if dedup:
+        # One shuffle by table serves the texts, the choice of first rows, and any later
+        # grouping or join by table. A table has at most 1,600 columns, so no part is hot.
+        spread = described.repartitionByRange if ordered else described.repartition
+        described = spread("table_schema", "table_name")
     type_name, length = split_type(F.col("type_with_length"))
     columns = described.select(
         "table_schema",
