@@ -27,9 +27,16 @@ def column_profile(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, [_profile(df, field) for field in df.schema.fields])
 
 
+def _measured(field: T.StructField) -> tuple[Column, T.DataType]:
+    """A column and its type; arrays, maps and structs count as their JSON text."""
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.to_json(qcol(field.name)), T.StringType()
+    return qcol(field.name), field.dataType
+
+
 def _profile(df: DataFrame, field: T.StructField) -> DataFrame:
-    column = qcol(field.name)
-    if isinstance(field.dataType, T.StringType):
+    column, data_type = _measured(field)
+    if isinstance(data_type, T.StringType):
         digest = F.concat(F.lit("#"), F.sha2(column, 256))
         value = F.when(F.length(column) > LONG_TEXT, digest).otherwise(column)
         counted = _counts(df, value, extremes=False)
@@ -45,8 +52,8 @@ def _profile(df: DataFrame, field: T.StructField) -> DataFrame:
         "rows",
         "nulls",
         "distinct_values",
-        render(F.col("lowest"), field.dataType).alias("min_value"),
-        render(F.col("highest"), field.dataType).alias("max_value"),
+        render(F.col("lowest"), data_type).alias("min_value"),
+        render(F.col("highest"), data_type).alias("max_value"),
         "max_length",
     )
 
@@ -66,8 +73,8 @@ def column_profile_approx(df: DataFrame, error: float = 0.05) -> DataFrame:
     """The same facts in one pass without a shuffle of values; distinct counts within ``error``."""
     measures = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema.fields):
-        column = qcol(field.name)
-        text = isinstance(field.dataType, T.StringType)
+        column, data_type = _measured(field)
+        text = isinstance(data_type, T.StringType)
         measures += [
             F.count(column).alias(f"filled_{i}"),
             F.approx_count_distinct(column, error).alias(f"distinct_{i}"),
@@ -82,8 +89,8 @@ def column_profile_approx(df: DataFrame, error: float = 0.05) -> DataFrame:
                 F.col("rows"),
                 (F.col("rows") - F.col(f"filled_{i}")).alias("nulls"),
                 F.col(f"distinct_{i}").alias("distinct_values"),
-                render(F.col(f"lowest_{i}"), field.dataType).alias("min_value"),
-                render(F.col(f"highest_{i}"), field.dataType).alias("max_value"),
+                render(F.col(f"lowest_{i}"), _measured(field)[1]).alias("min_value"),
+                render(F.col(f"highest_{i}"), _measured(field)[1]).alias("max_value"),
                 F.col(f"length_{i}").alias("max_length"),
             )
             for i, field in enumerate(df.schema.fields)

@@ -13,7 +13,12 @@ from tablepull.functions.names import qcol
 
 # Settings worth having on any cluster. A stage whose generated method is too long for
 # the JVM to compile runs interpreted; below the limit Spark generates it in parts.
+# Strict arithmetic also writes decimals plainly (0.0000000, not 0E-7). Adaptive execution
+# merges small shuffle parts, so the number of parts may be set high: about the bytes of
+# the largest shuffle by 128 MB.
 RECOMMENDED_CONF = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",

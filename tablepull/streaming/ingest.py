@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def ingest_new(spark: SparkSession, in_dir: str, schema: T.StructType, checkpoint: str, out_dir: str, file_format: str = "parquet", files_per_batch: int | None = None) -> int:
+def ingest_new(spark: SparkSession, in_dir: str, schema: T.StructType, checkpoint: str, out_dir: str, file_format: str = "parquet", files_per_batch: int | None = None) -> None:
     """Takes the files that came since the last run into ``out_dir`` and stops.
 
-    Returns the number of rows taken. The file sink logs which of its files belong to a
+    The file sink logs which of its files belong to a
     finished batch, so a batch that fails half-way and runs again leaves its rows once.
     Load the landed rows by key with ``operators.load`` where the target needs an upsert.
     """
@@ -31,7 +31,6 @@ def ingest_new(spark: SparkSession, in_dir: str, schema: T.StructType, checkpoin
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
 def ingested(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
