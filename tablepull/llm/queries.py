@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.url_filter import filter_urls
 
 
@@ -22,15 +23,44 @@ URL_RULES = (
 )
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return filter_urls(_table(spark, sf_dir, "pages"), rules)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op8_url_filter": op8_url_filter,
 }
 
+# All links by shared shingles, then the smallest id that can be reached along them.
+_OP4 = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 75 * (na + nb - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(id, seen) AS (
+  SELECT a, a FROM both_ways
+  UNION
+  SELECT b.b, r.seen FROM reached r JOIN both_ways b ON b.a = r.id WHERE r.seen < b.b),
+lowest AS (SELECT id, min(seen) AS low FROM reached GROUP BY id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN lowest ON id = doc_id
+"""
+
 _OP8 = """
 WITH parts AS (
   SELECT page_id,
@@ -47,5 +77,6 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS
 """
 
 ORACLE: dict[str, str] = {
+    "op4_minhash_dedup": _OP4,
     "op8_url_filter": _OP8,
 }
