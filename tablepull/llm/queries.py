@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablepull.llm.minhash import near_duplicates
+from tablepull.llm.quality import held_out, score_quality, train_quality
 from tablepull.llm.url_filter import filter_urls
 
 
@@ -14,6 +16,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Texts with a lower score are rejected.
+QUALITY_BAR = 0.7
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= QUALITY_BAR).cast("int").alias("predicted"))
+
+
 URL_RULES = (
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -34,6 +47,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
 }
 
