@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepull.llm.decontaminate import contaminated
 from tablepull.llm.minhash import near_duplicates
+from tablepull.llm.packing import pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
 from tablepull.llm.url_filter import filter_urls
 
@@ -16,6 +18,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 # Texts with a lower score are rejected.
 QUALITY_BAR = 0.7
 
@@ -47,6 +57,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_decontamination": op5_decontamination,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
 }

@@ -24,6 +24,15 @@ def broadcast_below(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def repeated(df: DataFrame, copies: str, number: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says, numbered from 0 in ``number``, without ``copies``."""
+    some = 10_000
+    step, rest = "repeat_step", F.col(copies) - F.col("repeat_step") * some
+    df = df.withColumn(step, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{copies}` - 1) div {some}"))))
+    df = df.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.least(rest, F.lit(some).cast("long")))))
+    return df.withColumn(number, F.col(number) - 1 + F.col(step) * some).drop(copies, step)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b): the smallest id that can be reached.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablepull.llm.tables import BROADCAST_BYTES
+from tablepull.llm.tables import BROADCAST_BYTES, repeated
 
 # Copies of the rules and shares of the URLs, if the rules are too large to be copied to all executors.
 SALTS = 16
@@ -96,8 +96,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
         F.first("u_copies").alias("u_copies"), F.first("u_host").alias("host"), F.first("u_path").alias("path"),
         F.max(F.when(fits, F.col("r_rank"))).alias("u_best"),
     )
-    return best.select(
+    out = best.select(
         F.col("u_id").alias(id_col), "host", "path", F.col("u_best.rule").alias("rule"),
         F.coalesce("u_best.action", F.lit(default)).alias("verdict"),
-        F.explode(F.sequence(F.lit(1), F.col("u_copies").cast("int"))).alias("u_copy"),
-    ).drop("u_copy")
+        "u_copies",
+    )
+    return repeated(out, "u_copies", "u_copy").drop("u_copy")
