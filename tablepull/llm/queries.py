@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepull.llm.decontaminate import contaminated
+from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.packing import pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
@@ -46,6 +47,11 @@ URL_RULES = (
 )
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents"), counts=("n_lines", "n_removed"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -63,6 +70,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
 }
 
+# Every line of three words or more against all earlier ones: equal, or from eight words on one
+# word replaced (same length, one place differs) or dropped (equal without one place).
+_OP1 = """
+WITH lines AS (
+  SELECT doc_id, no - 1 AS no, line, list_filter(regexp_split_to_array(lower(line), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents)),
+firsts AS (SELECT w, min((doc_id, no)) AS p FROM lines WHERE len(w) >= 3 GROUP BY w),
+long AS (SELECT w, p, len(w) AS n FROM firsts WHERE len(w) >= 8),
+without AS (SELECT p, n, unnest(range(1, n + 1)) AS i, w FROM long),
+cut AS (SELECT p, n, i, w[1:i-1] || w[i+1:] AS v FROM without),
+near AS (
+  SELECT p FROM (SELECT p, min(p) OVER (PARTITION BY n, i, v) AS q FROM cut) WHERE q < p
+  UNION SELECT long.p FROM long JOIN cut ON long.w = cut.v WHERE cut.p < long.p
+  UNION SELECT cut.p FROM long JOIN cut ON long.w = cut.v WHERE long.p < cut.p),
+judged AS (
+  SELECT l.doc_id, l.no, l.line, len(l.w) >= 3 AND ((l.doc_id, l.no) <> f.p OR f.p IN (SELECT p FROM near)) AS gone
+  FROM lines l LEFT JOIN firsts f ON f.w = l.w)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(j.n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(j.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(line, chr(10) ORDER BY no) FILTER (NOT coalesce(gone, false)) AS kept
+  FROM judged GROUP BY doc_id) j ON j.doc_id = d.doc_id
+"""
+
 # All links by shared shingles, then the smallest id that can be reached along them.
 _OP4 = """
 WITH RECURSIVE words AS (
@@ -103,6 +134,7 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS
 """
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": _OP1,
     "op4_minhash_dedup": _OP4,
     "op8_url_filter": _OP8,
 }
