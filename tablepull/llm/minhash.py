@@ -14,9 +14,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablepull.functions.names import qcol
 from tablepull.llm.hashing import mix, shingle_sets
 from tablepull.llm.tables import components, stored
 
@@ -103,7 +104,7 @@ def _buckets(described: DataFrame) -> DataFrame:
     return stored(rows.join(shared, "key"), "buckets")
 
 
-def _comparable(percent: int) -> F.Column:
+def _comparable(percent: int) -> Column:
     return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
 
@@ -188,3 +189,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
+    """``docs``, all columns, with one row of each component: the one of the smallest id; see ``near_duplicates``.
+
+    Of rows that share an id one stays, by the smallest text; rows with a null id all stay.
+    """
+    kept = near_duplicates(docs, id_col, text_col, size, percent).where("kept").select(F.col(id_col).alias("k_id")).dropna().distinct()
+    rows = docs.select(F.struct(*[qcol(c) for c in docs.columns]).alias("row"), qcol(id_col).cast("long").alias("k_id"), qcol(text_col).alias("k_text"))
+    known = rows.where("k_id is not null").join(kept, "k_id", "left_semi")
+    first = known.withColumn("k_no", F.row_number().over(Window.partitionBy("k_id").orderBy("k_text"))).where("k_no = 1")
+    return first.select("row").unionByName(rows.where("k_id is null").select("row")).select("row.*")

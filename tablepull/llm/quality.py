@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablepull.llm.hashing import chunks
+from tablepull.llm.hashing import chunks, combine, word_hashes
 from tablepull.llm.tables import broadcast_below, stored
 
 # Labelled rows (the first ones by hash of their id) and feature ids the descent is fitted on, at most.
@@ -26,7 +26,10 @@ FIT_IDS = 40_000_000
 EPOCHS = 12
 COST = 1.0
 _THREE = 1 << 18
-DIMENSIONS = _THREE + (1 << 16) + (1 << 8)
+# Shares of words that repeat the word before, and of word 3-grams that repeat an earlier one.
+_SHARES = np.array([0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7])
+_REPEATS = _THREE + (1 << 16) + (1 << 8)
+DIMENSIONS = _REPEATS + 2 * len(_SHARES)
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,7 @@ class QualityModel:
 
 
 def gram_ids(column: pa.Array) -> Iterator[np.ndarray]:
-    """For each text the distinct ids of its byte 1-, 2- and 3-grams (3-grams hashed)."""
+    """For each text the distinct ids of its byte 1-, 2- and 3-grams (3-grams hashed) and of its word repetitions."""
     last = np.zeros(DIMENSIONS, np.int64)
     for _, _, data, offsets in chunks(column):
         one = data.astype(np.int64)
@@ -49,13 +52,24 @@ def gram_ids(column: pa.Array) -> Iterator[np.ndarray]:
         three = ((two[:-1] << 8) | one[2:]) * 0x9E3779B1 >> 7 & (_THREE - 1)
         two += _THREE
         one += _THREE + (1 << 16)
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            ids = np.concatenate([one[a:b], two[a : max(a, b - 1)], three[a : max(a, b - 2)]])
+        words, rows = word_hashes(data, offsets)
+        for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            ids = np.concatenate([one[a:b], two[a : max(a, b - 1)], three[a : max(a, b - 2)], _repeats(words[rows[row] : rows[row + 1]])])
             at = np.arange(len(ids))
             last[ids] = at
             yield ids[last[ids] == at]
 
 
+def _repeats(words: np.ndarray) -> np.ndarray:
+    """Ids of the shares that a text's repetitions exceed."""
+    if len(words) < 4:
+        return np.zeros(0, np.int64)
+    before = (words[1:] == words[:-1]).mean()
+    runs = combine(words, 3)
+    earlier = 1 - len(np.unique(runs)) / len(runs)
+    return _REPEATS + np.concatenate([np.flatnonzero(_SHARES < before), len(_SHARES) + np.flatnonzero(_SHARES < earlier)])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, DIMENSIONS), np.int64)
     rows = [0, 0]
@@ -164,16 +178,20 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return QualityModel((weight * ratio).astype(np.float32), np.square(ratio).astype(np.float32), bias, slope, offset)
 
 
-def _scores(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scored(column: pa.Array, m: QualityModel) -> np.ndarray:
+    margins = []
+    for ids in gram_ids(column):
+        length = float(m.square[ids].sum(dtype=np.float64)) ** 0.5
+        margins.append(float(m.weight[ids].sum(dtype=np.float64)) / length + m.bias if length > 0 else m.bias)
+    return 1 / (1 + np.exp(-np.clip(m.slope * np.array(margins, dtype=np.float64) + m.offset, -500, 500)))
+
+
+def _scores(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = QualityModel(**model.value)
+        m = QualityModel(**shared.value)
         for batch in batches:
-            margins = []
-            for ids in gram_ids(batch.column(batch.num_columns - 1)):
-                length = float(m.square[ids].sum(dtype=np.float64)) ** 0.5
-                margins.append(float(m.weight[ids].sum(dtype=np.float64)) / length + m.bias if length > 0 else m.bias)
-            score = 1 / (1 + np.exp(-np.clip(m.slope * np.array(margins) + m.offset, -500, 500)))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(score, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            score = pa.array(_scored(batch.column(batch.num_columns - 1), m), pa.float64())
+            yield pa.record_batch([*batch.columns[:-1], score], names=[*batch.schema.names[:-1], "score"])
 
     return run
 
@@ -184,3 +202,15 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
     rows = docs.select(*keep, F.col(text_col).alias("score_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(vars(model))), f"{fields}, score double")
+
+
+def keep_quality(docs: DataFrame, model: QualityModel, bar: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``bar``."""
+    at, shared = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = QualityModel(**shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(_scored(batch.column(at), m) >= bar, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
