@@ -3,9 +3,9 @@
 Two small collections of MinHash values are taken of every set; each pair of a left and a
 right value is the key of one table, so 2 * 8 values serve 64 tables. Documents of equal
 sets fold into one class first. In each bucket all members meet its smallest one, which
-costs a row per member; buckets whose members are still in several components are resolved
-further: small ones by all their pairs, large ones by tables with longer keys, and what is
-left hub by hub. Links are confirmed on the sets themselves.
+costs a row per member. Documents whose buckets are then still in several components form
+families; in blocks, those outside a family's largest component meet the others. Links are
+confirmed on the sets themselves.
 """
 
 from __future__ import annotations
@@ -21,50 +21,45 @@ from tablepull.functions.names import qcol
 from tablepull.llm.hashing import mix, shingle_sets
 from tablepull.llm.tables import components, stored
 
-# (values in a key half, halves on each side). For a similarity of 0.75 a pair meets in no
-# table with probability 2 * (1 - 0.75 ** a) ** b at most: 3e-5, then 6e-4.
-LEVELS = ((1, 8), (2, 14))
-# A bucket of up to so many unresolved members is resolved by all its pairs.
-SMALL_BUCKET = 16
+# MinHash values on each side; two sets meet in a table for each pair of values. For a similarity of
+# 0.75 a pair meets in no table with a probability of 2 * 0.25 ** 8 = 3e-5 at most.
+SIDES = 8
+# Members of a family that are compared in one task, against as many others.
+BLOCK = 512
+_SEEDS = np.random.default_rng(40).integers(1, 2**63, 2 * SIDES, dtype=np.uint64)
+_DESCRIBED = "id long, n long, print binary, keys array<long>"
 
 
-def _seeds(level: int) -> tuple[np.ndarray, int, int]:
-    width, sides = LEVELS[level]
-    draw = np.random.default_rng(40 + level).integers(1, 2**63, 2 * width * sides, dtype=np.uint64)
-    return draw, width, sides
+def tensor_keys(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The table keys of each set (a row each): every left value with every right value."""
+    low = np.stack([np.minimum.reduceat(mix(shingles ^ seed), starts) for seed in _SEEDS], axis=1)
+    low = mix(low + np.arange(1, 2 * SIDES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    keys = low[:, :SIDES, None] * np.uint64(0xD6E8FEB86659FD93) + low[:, None, SIDES:]
+    return mix(keys).reshape(len(starts), SIDES * SIDES).view(np.int64)
 
 
-def tensor_keys(shingles: np.ndarray, level: int) -> np.ndarray:
-    """The table keys of one set: every left half with every right half."""
-    seeds, width, sides = _seeds(level)
-    low = np.empty(len(seeds), np.uint64)
-    for k, seed in enumerate(seeds):
-        low[k] = mix(shingles ^ seed).min()
-    halves = low.reshape(2 * sides, width)
-    folded = np.arange(1, 2 * sides + 1, dtype=np.uint64)
-    for k in range(width):
-        folded = mix(folded * np.uint64(0x9E3779B97F4A7C15) + halves[:, k])
-    return mix(folded[:sides, None] * np.uint64(0xD6E8FEB86659FD93) + folded[None, sides:]).ravel()
+def _listed(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
-def _describe(size: int, level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _describe(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                counts, prints, keys = [], [], []
-                for shingles in shingle_sets(part.column("text"), size):
-                    counts.append(len(shingles))
-                    prints.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                    keys.append(tensor_keys(shingles, level).view(np.int64) if len(shingles) else np.zeros(0, np.int64))
-                ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-                yield pa.record_batch(
-                    [part.column("id"), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys or [np.zeros(0, np.int64)])))],
-                    names=["id", "n", "print", "keys"],
-                )
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = list(shingle_sets(part.column("text"), size))
+                counts = np.array([len(s) for s in sets])
+                prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                keys = [np.zeros(0, np.int64)] * len(sets)
+                some = np.flatnonzero(counts)
+                if len(some):
+                    starts = np.cumsum(counts[some]) - counts[some]
+                    for row, values in zip(some, tensor_keys(np.concatenate([sets[i] for i in some]), starts)):
+                        keys[row] = values
+                yield pa.record_batch([part.column("id"), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), _listed(keys)], names=["id", "n", "print", "keys"])
 
     return run
 
@@ -74,27 +69,19 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [s.view(np.int64) for s in shingle_sets(part.column("text"), size)]
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.record_batch(
-                    [part.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
-                    names=["id", "items"],
-                )
+                sets = _listed([s.view(np.int64) for s in shingle_sets(part.column("text"), size)])
+                yield pa.record_batch([part.column("id"), sets], names=["id", "items"])
 
     return run
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have ``100 * intersection >= percent * union``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rows = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    sets = rows.mapInArrow(_sets(size), "id long, items array<long>")
-    sets = stored(sets, "sets")
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    joint = pairs.select("a", "b").join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
-    return stored(joint.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b"), "links")
+    joint = pairs.join(left, "a").join(right, "b").where(100 * common >= percent * (F.size("x") + F.size("y") - common))
+    return stored(joint.select("a", "b"), "links")
 
 
 def _buckets(described: DataFrame) -> DataFrame:
@@ -104,64 +91,93 @@ def _buckets(described: DataFrame) -> DataFrame:
     return stored(rows.join(shared, "key"), "buckets")
 
 
-def _comparable(percent: int) -> Column:
-    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-
-
 def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Every member of a bucket with its smallest one, where the sizes allow the similarity."""
     hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
-    pairs = members.join(hubs, "key").select(F.col("hub.id").alias("a"), F.col("id").alias("b"), "n", F.col("hub.n").alias("m"))
-    return pairs.where(F.col("a") != F.col("b")).where(_comparable(percent)).select("a", "b").distinct()
+    pairs = members.join(hubs, "key").where(F.col("hub.id") != F.col("id"))
+    pairs = pairs.where(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
+    return stored(pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
 
 
-def _unresolved(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with component and bucket size."""
-    labels = components(links)
-    known = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    several = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
-    return known.join(several.where("lo < hi").select("key", "members"), "key")
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, id, component) of the buckets of three or more whose members are in several components."""
+    known = members.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    stats = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
+    return stored(known.join(stats.where("lo < hi and members > 2").select("key"), "key").select("key", "id", "component"), "open")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of small buckets that are in different components."""
-    other = members.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    pairs = members.withColumnRenamed("id", "a").join(other, "key").where("a < b and component != other")
-    return pairs.where(_comparable(percent)).select("a", "b").distinct()
+def _family_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of each family: the documents that open buckets join.
 
+    All members that are not in the largest component of their family meet all members of other
+    components, in blocks; only links leave a task, one for each member and component.
+    """
+    hubs = rows.groupBy("key").agg(F.min("id").alias("a"))
+    families = components(rows.join(hubs, "key").select("a", F.col("id").alias("b")).distinct())
+    people = stored(rows.select("id", "component").distinct().join(families.withColumnRenamed("component", "family"), "id"), "people")
+    parts = people.groupBy("family", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("family").agg(F.max(F.struct("size", F.col("component").alias("main"))).alias("top"), F.sum("size").alias("people"))
+    total = people.count()
+    rows = people.join(largest.select("family", "top.main", "people"), "family").join(sets, "id")
+    rows = rows.withColumn("rest", F.col("component") != F.col("main")).withColumn("blocks", F.expr(f"int(ceil(people / {BLOCK}))"))
+    rows = rows.withColumn("own", F.expr("int(pmod(xxhash64(id), blocks))"))
+    # Small families share tasks; a large one has a task for each two of its blocks.
+    share = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(max(1, total // BLOCK)))).otherwise(F.col("family"))
+    rows = rows.withColumn("share", share).withColumn("each", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    fields = ["share", "blocks", "family", "id", "component", "items"]
+    asked = rows.where("rest").select(*fields, F.col("own").alias("p"), F.col("each").alias("q"), F.lit(True).alias("asks"))
+    others = rows.select(*fields, F.col("each").alias("p"), F.col("own").alias("q"), F.lit(False).alias("asks"))
+    meet = asked.unionByName(others).withColumn("alone", F.col("blocks") == 1).drop("blocks")
+    return stored(meet.groupBy("alone", "share", "p", "q").applyInArrow(_meeting(percent), "a long, b long"), "links")
+
+
+def _meeting(percent: int) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        family, ids, component = (table[c].to_numpy() for c in ("family", "id", "component"))
+        asks = np.array(table["asks"].to_pylist(), dtype=bool)
+        items = table["items"].combine_chunks()
+        values, ends = items.flatten().to_numpy(), np.cumsum([0, *(items.value_lengths().to_pylist())])
+        order = np.argsort(family, kind="stable")
+        found: list[tuple[int, int]] = []
+        for group in np.split(order, np.flatnonzero(np.diff(family[order])) + 1):
+            asking, others = group[asks[group]], group[~asks[group]]
+            if len(asking) and len(others):
+                found += _cross(asking, others, ids, component, values, ends, percent)
+        a, b = zip(*found) if found else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def _linked(texts: DataFrame, described: DataFrame, size: int, percent: int, level: int = 0, known: DataFrame | None = None) -> DataFrame:
-    """Links (a, b) whose components are those of all links the tables meet, and the known ones."""
-    members = _buckets(described)
-    tested = stored(_hub_pairs(members, percent), "pairs")
-    links = _confirmed(texts, tested, size, percent)
-    links = links if known is None else links.union(known)
-    # A bucket of two is done: its only pair has been tested.
-    left = stored(_unresolved(members, links).where("members > 2"), "unresolved")
-    small = left.where(F.col("members") <= SMALL_BUCKET)
-    more = stored(_across(small, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_confirmed(texts, more, size, percent))
-    large = stored(_unresolved(left.where(F.col("members") > SMALL_BUCKET).select("key", "id", "n"), links), "unresolved")
-    if large.isEmpty():
-        return links
-    if level + 1 < len(LEVELS):
-        rows = texts.join(large.select("id").distinct(), "id", "left_semi")
-        deeper = stored(rows.mapInArrow(_describe(size, level + 1), _DESCRIBED).select("id", "n", "keys"), "described")
-        return _linked(texts, deeper, size, percent, level + 1, stored(links, "links"))
-    # Hub by hub: each pass compares one more member of every bucket with the other components.
-    done = large.groupBy("key").agg(F.min("id").alias("done"))
-    while not large.isEmpty():
-        waiting = large.drop("members").join(done, "key")
-        hubs = stored(waiting.where("id > done").groupBy("key").agg(F.min(F.struct("id", "n", "component")).alias("hub")), "hubs")
-        met = large.join(hubs, "key").where("component != hub.component")
-        met = met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), "n", F.col("hub.n").alias("m"))
-        pairs = stored(met.where(_comparable(percent)).select("a", "b").distinct(), "pairs")
-        links = stored(links.union(_confirmed(texts, pairs, size, percent)), "links")
-        done = hubs.select("key", F.col("hub.id").alias("done"))
-        large = stored(_unresolved(large.select("key", "id", "n").join(done, "key", "left_semi"), links), "unresolved")
-    return links
+    return run
 
 
-_DESCRIBED = "id long, n long, print binary, keys array<long>"
+def _cross(asking, others, ids, component, values, ends, percent: int) -> Iterator[tuple[int, int]]:
+    """Links of the rows ``asking`` to ``others`` of other components, one for each row and component."""
+    lists = [values[ends[i] : ends[i + 1]] for i in others]
+    sizes = np.array([len(x) for x in lists])
+    known, codes = np.unique(np.concatenate(lists), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    for i in asking:
+        apart = component[others] != component[i]
+        if not apart.any():
+            continue
+        mine = values[ends[i] : ends[i + 1]]
+        at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+        marks = np.zeros(len(known), np.int32)
+        marks[at[known[at] == mine]] = 1
+        common = np.add.reduceat(marks[codes], starts)
+        linked = np.flatnonzero(apart & (100 * common >= percent * (sizes + len(mine) - common)))
+        for j in np.unique(component[others[linked]], return_index=True)[1]:
+            yield int(ids[i]), int(ids[others[linked[j]]])
+
+
+def _linked(texts: DataFrame, described: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join whatever all links between documents of a bucket join."""
+    members = _buckets(described)
+    ids = members.select("id").distinct()
+    rows = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    sets = stored(rows.mapInArrow(_sets(size), "id long, items array<long>"), "sets")
+    links = _confirmed(sets, _hub_pairs(members, percent), percent)
+    rows = _open(members, links)
+    return links if rows.isEmpty() else links.union(_family_links(rows, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -176,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     come back as often as they occur. An empty table gives an empty result; other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    described = stored(texts.mapInArrow(_describe(size, 0), _DESCRIBED), "described")
+    described = stored(texts.mapInArrow(_describe(size), _DESCRIBED), "described")
     usable = described.where("n > 0 and id is not null")
     classes = usable.groupBy("print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     classes = classes.select(F.col("first").alias("id"), "n", "print", "keys", "copies")

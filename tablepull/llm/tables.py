@@ -43,6 +43,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"
     )
+    def state(table: DataFrame) -> tuple:
+        return tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    before = state(now)
     while True:
         # Large star: neighbours above u go to the smallest of u and its neighbours.
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -53,9 +57,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         after = stored(small.where("u != v").distinct(), "edges")
-        sign = lambda t: t.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if sign(after) == sign(now):
+        now, last, before = after, before, state(after)
+        if before == last:
             break
-        now = after
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return stored(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots), "components")
