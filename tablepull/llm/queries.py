@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablepull.llm.decontaminate import contaminated
 from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
+from tablepull.llm.neighbours import nearest
 from tablepull.llm.packing import pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
 from tablepull.llm.url_filter import filter_urls
@@ -52,6 +53,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
