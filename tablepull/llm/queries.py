@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepull.llm.decontaminate import contaminated
+from tablepull.llm.extraction import extract_text
 from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.neighbours import nearest
@@ -66,6 +67,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_nearest_neighbours": op3_nearest_neighbours,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 # Every line of three words or more against all earlier ones: equal, or from eight words on one
