@@ -21,10 +21,8 @@ from tablepull.functions.names import qcol
 from tablepull.llm import boosting
 from tablepull.llm.dom import FEATURES, Page
 
-# Pages (the first ones by hash of their id) that the model learns from, the characters taken of
-# each (pages of the sample only; extraction reads whole pages), and the layouts composed of each.
+# Pages (the first ones by hash of their id) that the model learns from, and the layouts composed of each.
 SAMPLE_PAGES = 240
-SAMPLE_CHARS = 20_000
 LAYOUTS = 6
 _MAIN = {"article", "main"}
 _REST = {"nav", "aside", "footer", "header", "form"}
@@ -173,7 +171,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_extractor(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> boosting.Boosted | None:
     """Trees learnt from the named parts of a bounded sample, or None if no sampled page names any."""
-    rows = pages.select(F.xxhash64(qcol(id_col)).alias("h"), F.substring(qcol(html_col), 1, SAMPLE_CHARS).alias("html")).where("html is not null")
+    rows = pages.select(F.xxhash64(qcol(id_col)).alias("h"), qcol(html_col).alias("html")).where("html is not null")
     sample = rows.orderBy("h", "html").limit(SAMPLE_PAGES).repartition(1).sortWithinPartitions("h", "html").select("html")
     found = sample.mapInArrow(_fit, "feature binary, threshold binary, value binary").first()
     if found is None:

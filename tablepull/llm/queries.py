@@ -14,6 +14,7 @@ from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.neighbours import nearest
 from tablepull.llm.packing import pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
+from tablepull.llm.repeats import remove_repeats
 from tablepull.llm.url_filter import filter_urls
 
 
@@ -54,6 +55,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +79,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_decontamination": op5_decontamination,
