@@ -15,7 +15,9 @@ from tablepull.llm.neighbours import nearest
 from tablepull.llm.packing import pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
 from tablepull.llm.repeats import remove_repeats
+from tablepull.llm.token_files import read_token_documents, write_token_files
 from tablepull.llm.url_filter import filter_urls
+from tablepull.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,14 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = shared_dir(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -87,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
     "op9_html_extraction": op9_html_extraction,
+    "op10_token_files": op10_token_files,
 }
 
 # Every line of three words or more against all earlier ones: equal, or from eight words on one
