@@ -3,9 +3,9 @@
 Two small collections of MinHash values are taken of every set; each pair of a left and a
 right value is the key of one table, so 2 * 8 values serve 64 tables. Documents of equal
 sets fold into one class first. In each bucket all members meet its smallest one, which
-costs a row per member. Documents whose buckets are then still in several components form
-families; in blocks, those outside a family's largest component meet the others. Links are
-confirmed on the sets themselves.
+costs a row per member; the similarity is computed on the sets themselves. Documents that are
+close to each other, linked or not, make families; where links leave a family in several
+components, those outside the largest one meet all others of the family, in blocks.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ from tablepull.llm.tables import components, stored
 # MinHash values on each side; two sets meet in a table for each pair of values. For a similarity of
 # 0.75 a pair meets in no table with a probability of 2 * 0.25 ** 8 = 3e-5 at most.
 SIDES = 8
+# Two documents that are this similar, in percent, are of one family. Linked ones that meet in no table
+# but those led by less similar documents could be missed; a pair meets in 36 tables on average.
+CLOSE = 40
 # Members of a family that are compared in one task, against as many others.
 BLOCK = 512
 _SEEDS = np.random.default_rng(40).integers(1, 2**63, 2 * SIDES, dtype=np.uint64)
@@ -75,13 +78,14 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
-def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have ``100 * intersection >= percent * union``."""
+def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of at least ``CLOSE`` percent, and whether they are ``linked``."""
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    joint = pairs.join(left, "a").join(right, "b").where(100 * common >= percent * (F.size("x") + F.size("y") - common))
-    return stored(joint.select("a", "b"), "links")
+    union = F.size("x") + F.size("y") - F.col("common")
+    joint = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    close = joint.where(100 * F.col("common") >= CLOSE * union)
+    return stored(close.select("a", "b", (100 * F.col("common") >= percent * union).alias("linked")), "pairs")
 
 
 def _buckets(described: DataFrame) -> DataFrame:
@@ -91,30 +95,29 @@ def _buckets(described: DataFrame) -> DataFrame:
     return stored(rows.join(shared, "key"), "buckets")
 
 
-def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Every member of a bucket with its smallest one, where the sizes allow the similarity."""
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Every member of a bucket with its smallest one, where their sizes allow ``CLOSE`` percent."""
     hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
     pairs = members.join(hubs, "key").where(F.col("hub.id") != F.col("id"))
-    pairs = pairs.where(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
-    return stored(pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    pairs = pairs.where(100 * F.least("n", "hub.n") >= CLOSE * F.greatest("n", "hub.n"))
+    return pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _open(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, id, component) of the buckets of three or more whose members are in several components."""
-    known = members.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    stats = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
-    return stored(known.join(stats.where("lo < hi and members > 2").select("key"), "key").select("key", "id", "component"), "open")
+def _open_people(pairs: DataFrame) -> DataFrame:
+    """(id, component, family) of the families, joined by all close pairs, that links leave in several components."""
+    families = components(pairs.select("a", "b")).withColumnRenamed("component", "family")
+    people = families.join(components(pairs.where("linked").select("a", "b")), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    stats = people.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+    # A family of two is done: its only pair has been compared.
+    return stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
 
 
-def _family_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of each family: the documents that open buckets join.
+def _family_links(people: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of each family.
 
     All members that are not in the largest component of their family meet all members of other
     components, in blocks; only links leave a task, one for each member and component.
     """
-    hubs = rows.groupBy("key").agg(F.min("id").alias("a"))
-    families = components(rows.join(hubs, "key").select("a", F.col("id").alias("b")).distinct())
-    people = stored(rows.select("id", "component").distinct().join(families.withColumnRenamed("component", "family"), "id"), "people")
     parts = people.groupBy("family", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = parts.groupBy("family").agg(F.max(F.struct("size", F.col("component").alias("main"))).alias("top"), F.sum("size").alias("people"))
     total = people.count()
@@ -175,9 +178,10 @@ def _linked(texts: DataFrame, described: DataFrame, size: int, percent: int) ->
     ids = members.select("id").distinct()
     rows = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     sets = stored(rows.mapInArrow(_sets(size), "id long, items array<long>"), "sets")
-    links = _confirmed(sets, _hub_pairs(members, percent), percent)
-    rows = _open(members, links)
-    return links if rows.isEmpty() else links.union(_family_links(rows, sets, percent))
+    pairs = _compared(sets, _hub_pairs(members), percent)
+    people = _open_people(pairs)
+    links = pairs.where("linked").select("a", "b")
+    return links if people.isEmpty() else links.union(_family_links(people, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
