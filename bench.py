@@ -39,6 +39,15 @@ HEADLINES = (
     "sql_running_sum",
     "sql_distinct_agg",
     "sql_rollup",
+    "manifest_columns",
+    "manifest_typed_json",
+    "catalog_whitelist_independent",
+    "csv_lines",
+    "csv_arity",
+    "csv_roundtrip_html",
+    "column_profile_documents",
+    "load_upsert_stored",
+    "export_and_load",
 )
 
 

@@ -33,7 +33,10 @@ KIND_WORDS = {
     "t": "toast table",
 }
 INCREMENT_BASE_TYPES = ("INTEGER", "NUMERIC", "FLOAT", "TIMESTAMP")
-TYPE_WITH_LENGTH = r"^(.*)\((\d+|\d+,\d+)\)([^()\[\]]*)$"
+# A type name, its parameters in brackets (a length, or a precision and a scale, which may be negative),
+# and words such as "without time zone"; nothing that marks an array.
+TYPE_WITH_LENGTH = r"^([^()\[\]]+)\(([0-9]+(?:,-?[0-9]+)?)\)[^()\[\]]*$"
+_CUT = "\u0000"
 VARCHAR = "character varying"
 
 
@@ -44,10 +47,13 @@ def _lookup(words: dict[str, str], column: Column, otherwise: str) -> Column:
 
 def split_type(column: Column) -> tuple[Column, Column]:
     """Type and length of ``numeric(10,2)``; an array type is kept whole, without length."""
-    hit = column.rlike(TYPE_WITH_LENGTH)
-    name = F.when(hit, F.regexp_extract(column, TYPE_WITH_LENGTH, 1)).otherwise(column)
-    length = F.when(hit, F.regexp_extract(column, TYPE_WITH_LENGTH, 2))
-    return name, length
+    parts = type_parts(column)
+    return parts[0], F.get(parts, F.lit(1))
+
+
+def type_parts(column: Column) -> Column:
+    """[type, length], or [type] if it has no length, by one match."""
+    return F.split(F.regexp_replace(column, TYPE_WITH_LENGTH, f"$1{_CUT}$2"), _CUT)
 
 
 def base_type(type_name: Column) -> Column:

@@ -6,14 +6,15 @@ Catalyst and adaptive execution: small sides (schemas) are broadcast by their re
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Container, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepull.functions.types import base_type, clean_default, decode_kind, source_type, split_type
+from tablepull.functions.types import base_type, clean_default, decode_kind, source_type, split_type, type_parts
 from tablepull.operators.keys import first_per_key
+from tablepull.session import broadcast_if_small
 
 # What a listing leaves out, and the kinds a listing without columns shows.
 SYSTEM_SCHEMAS = ("information_schema", "pg_catalog")
@@ -71,9 +72,10 @@ def _only(df: DataFrame, only: Pairs | DataFrame | None, pairwise: bool) -> Data
         wanted = only.select(*names).distinct()
         if pairwise:
             return df.join(wanted, names, "left_semi")
-        return df.join(wanted.select(names[0]).distinct(), names[0], "left_semi").join(
-            wanted.select(names[1]).distinct(), names[1], "left_semi"
-        )
+        # Few schemas hold many relations: a side that fits is copied, so that none is shuffled by schema.
+        for name in names:
+            df = df.join(broadcast_if_small(wanted.select(name).distinct()), name, "left_semi")
+        return df
     pairs = list(only)
     if pairwise:
         is_pair = F.lit(False)
@@ -138,7 +140,9 @@ def list_columns(catalog: Catalog, system: bool = False, only: Pairs | DataFrame
         # grouping or join by table. A table has at most 1,600 columns, so no part is hot.
         spread = described.repartitionByRange if ordered else described.repartition
         described = spread("table_schema", "table_name")
-    type_name, length = split_type(F.col("type_with_length"))
+    # One pass over the type text serves all that depends on it.
+    described = described.withColumn("type_parts", type_parts(F.col("type_with_length")))
+    type_name, length = F.col("type_parts")[0], F.get("type_parts", F.lit(1))
     columns = described.select(
         "table_schema",
         "table_name",
@@ -180,12 +184,12 @@ def nest_columns(columns: DataFrame, nested: tuple[str, ...] = ("column_name", "
     )
 
 
-def listing_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """The listing of frames that no catalogue describes, from their schemas."""
+def listing_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], nullable: Container[tuple[str, str]] = ()) -> DataFrame:
+    """The listing of frames that no catalogue describes, from their schemas; ``nullable`` tables may hold NULL anywhere."""
     rows = []
     for (schema, table), df in tables.items():
         for position, field in enumerate(df.schema.fields, start=1):
-            rows.append((schema, table, "table", field.name, source_type(field.dataType), field.nullable, position))
+            rows.append((schema, table, "table", field.name, source_type(field.dataType), field.nullable or (schema, table) in nullable, position))
     declared = spark.createDataFrame(
         rows,
         "table_schema string, table_name string, table_type string, column_name string, "

@@ -97,18 +97,21 @@ def increment_health(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def guard_progress(rows: int, limit: int | None, old: str | None, new: str | None, column: str) -> None:
-    """Refuses a limited run that can never advance: more ties at the state than the limit."""
-    if limit is not None and rows >= limit and old is not None and old == new:
+def guard_progress(ties: int, beyond: int, limit: int, state: str, column: str) -> None:
+    """Refuses a limited run that can never advance: rows wait beyond the state, and its ties fill the limit.
+
+    A table without rows beyond the state is caught up: its run sends rows of the state again.
+    """
+    if beyond and ties >= limit:
         raise SpecError(
-            f'The increment stalls: at least {rows} rows share the value "{new}" of column "{column}", '
+            f'The increment stalls: {ties} rows share the value "{state}" of column "{column}", '
             f"and the limit is {limit}. Raise the limit above the number of ties."
         )
 
 
 @dataclass(frozen=True)
 class Increment:
-    """A batch to export. ``high`` is the frozen mark of an unlimited run."""
+    """A batch to export, and the mark read before it, beyond which no row is taken."""
 
     batch: DataFrame
     high: str | None
@@ -117,14 +120,21 @@ class Increment:
 def plan_increment(df: DataFrame, column: str, state: str | None, limit: int | None = None, tie_break: tuple[str, ...] = ()) -> Increment:
     """The rows of the next run.
 
-    An unlimited run is bounded by the mark read before it, looked up among the new rows
-    only. A limited run takes the first ``limit`` rows in column order; its mark is known
-    once it is written.
+    A run is bounded by the mark read before it, looked up among the new rows only. A
+    limited run takes the first ``limit`` of these rows in column order; one that could
+    never advance is refused here, before anything is written.
     """
-    if limit is None:
-        high = read_mark(max_watermark(since(df, column, state), column))
-        return Increment(bounded_increment(df, column, state, high), high)
-    return Increment(limit_batch(since(df, column, state), column, limit, tie_break), None)
+    data_type = increment_type(df, column)
+    new = since(df, column, state)
+    facts = [render(F.max(qcol(column)), data_type).alias("high")]
+    if limit is not None and state is not None:
+        value = _value(state, data_type)
+        facts += [F.count_if(qcol(column) == value).alias("ties"), F.count_if(qcol(column) > value).alias("beyond")]
+    found = new.agg(*facts).first()
+    if len(facts) > 1:
+        guard_progress(found["ties"], found["beyond"], limit, state, column)
+    frozen = bounded_increment(df, column, state, found["high"])
+    return Increment(frozen if limit is None else limit_batch(frozen, column, limit, tie_break), found["high"])
 
 
 def run_increment(df: DataFrame, column: str, state: str | None, limit: int | None = None, tie_break: tuple[str, ...] = ()) -> tuple[DataFrame, str | None]:
@@ -135,5 +145,4 @@ def run_increment(df: DataFrame, column: str, state: str | None, limit: int | No
         F.count(F.lit(1)).alias("rows"),
         render(F.max(qcol(column)), data_type).alias("last_value"),
     ).first()
-    guard_progress(facts["rows"], limit, state, facts["last_value"], column)
     return planned.batch, facts["last_value"] if facts["last_value"] is not None else state

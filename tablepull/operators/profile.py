@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 from tablepull.functions.names import qcol
 from tablepull.functions.render import render
 
-
-# A longer text is counted by its digest, so that it need not be shuffled.
-LONG_TEXT = 64
+# Relative standard error of estimated distinct counts.
+APPROX_ERROR = 0.05
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -22,7 +21,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     Every column is scanned by itself (a columnar file is read once in all) and its values
     are counted first. Repeated values are folded before the shuffle, and no row is
     multiplied as it would be by several distinct counts in one aggregation. Texts are
-    scanned once more for their extremes, so that only short texts and digests travel.
+    counted by digest, so that none is shuffled, and scanned once more for their extremes.
     """
     return reduce(DataFrame.unionAll, [_profile(df, field) for field in df.schema.fields])
 
@@ -37,9 +36,7 @@ def _measured(field: T.StructField) -> tuple[Column, T.DataType]:
 def _profile(df: DataFrame, field: T.StructField) -> DataFrame:
     column, data_type = _measured(field)
     if isinstance(data_type, T.StringType):
-        digest = F.concat(F.lit("#"), F.sha2(column, 256))
-        value = F.when(F.length(column) > LONG_TEXT, digest).otherwise(column)
-        counted = _counts(df, value, extremes=False)
+        counted = _counts(df, F.sha2(column, 256), extremes=False)
         scanned = df.agg(
             F.min(column).alias("lowest"), F.max(column).alias("highest"), F.max(F.length(column)).alias("max_length")
         )
@@ -69,7 +66,7 @@ def _counts(df: DataFrame, column: Column, extremes: bool) -> DataFrame:
     )
 
 
-def column_profile_approx(df: DataFrame, error: float = 0.05) -> DataFrame:
+def column_profile_approx(df: DataFrame, error: float = APPROX_ERROR) -> DataFrame:
     """The same facts in one pass without a shuffle of values; distinct counts within ``error``."""
     measures = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema.fields):

@@ -23,7 +23,10 @@ from tablepull.session import remove_path
 # Stands for NULL while reading; no text can hold it, as text has no NUL.
 NULL_MARK = "\u0000"
 # Files with line breaks inside values are read whole by one task, so none may grow large.
-RECORDS_PER_FILE = 1_000_000
+# A task writes what it reads, by default 128 MB of the source; a file is cut here at the latest.
+RECORDS_PER_FILE = 100_000
+# A record of one column with its line break: a quoted value, or nothing, which is NULL.
+ONE_VALUE = r'(?s)("[^"]*+(?:""[^"]*+)*+"|)\n'
 MAY_HOLD_QUOTES = (T.StringType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
 READ_OPTIONS = {
     "quote": '"',
@@ -86,7 +89,16 @@ def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Files written by ``write_csv``, every column as text."""
+    """Files written by ``write_csv``, every column as text.
+
+    In files of one column a NULL is an empty line, which the CSV source would skip: these
+    are cut into records here, a file in a task as with any file whose values hold line breaks.
+    """
+    if len(columns) == 1:
+        whole = spark.read.text(path, wholetext=True)
+        records = whole.select(F.explode(F.regexp_extract_all("value", F.lit(ONE_VALUE), F.lit(1))).alias("r"))
+        value = F.replace(F.expr("substring(r, 2, length(r) - 2)"), F.lit('""'), F.lit('"'))
+        return records.select(F.when(F.col("r") != "", value).alias(columns[0]))
     schema = ", ".join(f"{quoted(name)} STRING" for name in columns)
     return spark.read.options(**READ_OPTIONS).schema(schema).csv(path)
 

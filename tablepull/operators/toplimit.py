@@ -1,4 +1,4 @@
-"""The first n rows in column order, for small and for very large n."""
+"""The first n rows in a total order, for small and for very large n."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from tablepull.functions.names import qcol
 from tablepull.functions.rows import comparable, row_hash
 from tablepull.spec import SpecError
 
-# Up to this many rows one task may hold; a larger batch is cut by value instead.
+# Up to this many keys one task may hold while the last one is located.
 HEAP_ROWS = 10_000
 SPLITTERS = 64
 SAMPLES = 2_000
@@ -20,28 +20,43 @@ COPIES_PER_ROW = 10_000
 
 
 def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] = (), heap_rows: int = HEAP_ROWS) -> DataFrame:
-    """The first ``n`` rows ordered by ``column`` (NULLs last), ties by ``tie_break``.
+    """The first ``n`` rows ordered by ``column`` (NULLs last), ``tie_break`` (NULLs last), a hash of the row, then all columns.
 
-    A small batch is a top-k. A larger one is never sorted into one task: the value of
-    its last row is located by counting, and the batch becomes a plain filter.
+    At every ``n`` the key of the last row is located and the batch is a filter: the same
+    rows on every run and in every layout, in the order in which the source gives them.
+    ``heap_rows`` only says how the key is located.
     """
-    order = [column, *tie_break]
-    if n <= heap_rows:
-        return df.orderBy(*[qcol(name).asc_nulls_last() for name in order]).limit(n)
-    # Rows that differ in none of the order columns still need some fixed order.
-    keys = [*[qcol(name) for name in order], row_hash(df)]
-    inside, tied = F.lit(False), F.lit(True)
-    need = n
-    for key in keys:
-        cut = _nth(df.filter(tied), key, need, heap_rows)
-        if cut is None:
-            return df.filter(inside | tied)
-        inside = inside | (tied & cut.below)
-        tied = tied & cut.equal
-        need -= cut.rows_below
-        if cut.rows_equal == need:
-            return df.filter(inside | tied)
-    return df.filter(inside).unionByName(_some(df.filter(tied), need, heap_rows))
+    if n <= 0:
+        return df.limit(0)
+    key = _key(df, [column, *tie_break])
+    cut = _nth(df, key, n, heap_rows)
+    if cut is None:
+        return df
+    # The first column's bound once more by itself: this part of the filter reaches the scan.
+    df = df.filter(_reach(df, column, cut.first))
+    if cut.rows_below + cut.rows_equal == n:
+        return df.filter(cut.below | cut.equal)
+    return df.filter(cut.below).unionByName(_some(df.filter(cut.equal), n - cut.rows_below))
+
+
+def _key(df: DataFrame, order: list[str]) -> Column:
+    """One value for the place of a row: (is NULL, value) of each column, and the row's hash."""
+    parts = dict(zip(df.columns, comparable(df)))
+    fields = []
+    for i, name in enumerate(order):
+        kind = next(f.dataType for f in df.schema.fields if f.name == name)
+        value = F.to_json(qcol(name)) if isinstance(kind, (T.ArrayType, T.StructType)) else parts[name]
+        fields += [qcol(name).isNull().alias(f"n{i}"), value.alias(f"v{i}")]
+    return F.struct(*fields, row_hash(df).alias("hash"))
+
+
+def _reach(df: DataFrame, column: str, text: str | None) -> Column:
+    if text is None:
+        return F.lit(True)
+    kind = next(f.dataType for f in df.schema.fields if f.name == column)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        return F.lit(True)
+    return qcol(column) <= _from_text(text, kind)
 
 
 @dataclass(frozen=True)
@@ -50,34 +65,33 @@ class _Cut:
     equal: Column
     rows_below: int
     rows_equal: int
+    first: str | None
 
 
 def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
     """Where the n-th smallest key lies; None if there are no more than n rows.
 
-    Each pass counts the rows between some sampled values and goes on between two of
-    them. A sampled value is counted by itself, so a value that many rows share is
+    Each pass counts the rows between some sampled keys and goes on between two of
+    them. A sampled key is counted by itself, so a key that many rows share is
     found at once and the open interval always shrinks.
     """
     keys = df.select(key.alias("k"))
-    data_type = keys.schema["k"].dataType
-    k = F.col("k")
-    total, filled = keys.agg(F.count(F.lit(1)), F.count("k")).first()
+    kind, k = keys.schema["k"].dataType, F.col("k")
+    total = keys.count()
     if n >= total:
         return None
-    if n > filled:
-        return _Cut(key.isNotNull(), key.isNull(), filled, total - filled)
 
-    window, before, size = keys.filter(k.isNotNull()), 0, filled
+    window, before, size = keys, 0, total
     while True:
         rank = n - before
         if rank <= heap_rows:
-            text = window.orderBy(k).limit(rank).agg(_to_text(F.max("k"), data_type)).first()[0]
+            texts = window.orderBy(k).limit(rank).agg(_texts(F.max("k"), kind)).first()[0]
             break
         if size - rank < heap_rows:
-            text = window.orderBy(k.desc()).limit(size - rank + 1).agg(_to_text(F.min("k"), data_type)).first()[0]
+            texts = window.orderBy(k.desc()).limit(size - rank + 1).agg(_texts(F.min("k"), kind)).first()[0]
             break
-        splitters = [_from_text(item, data_type) for item in _splitters(window, size, data_type)]
+        found = _splitters(window, size, kind)
+        splitters = [_literal(item, kind) for item in found]
         slots = window.groupBy(_slot(k, splitters, 0, len(splitters)).alias("slot")).count()
         counts = {row["slot"]: row["count"] for row in slots.collect()}
         chosen = 0
@@ -88,16 +102,16 @@ def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
                 raise SpecError("The table lost rows while the batch was being located; run it again.")
         i, exact = divmod(chosen, 2)
         if exact:
-            return _Cut(key < splitters[i], key == splitters[i], before, counts[chosen])
+            return _Cut(key < splitters[i], key == splitters[i], before, counts[chosen], found[i][1])
         if i > 0:
             window = window.filter(k > splitters[i - 1])
         if i < len(splitters):
             window = window.filter(k < splitters[i])
         size = counts[chosen]
 
-    value = _from_text(text, data_type)
+    value = _literal(texts, kind)
     below, equal = window.agg(F.count_if(k < value), F.count_if(k == value)).first()
-    return _Cut(key < value, key == value, before + below, equal)
+    return _Cut(key < value, key == value, before + below, equal, texts[1])
 
 
 def _slot(k: Column, splitters: list[Column], first: int, last: int) -> Column:
@@ -112,17 +126,26 @@ def _slot(k: Column, splitters: list[Column], first: int, last: int) -> Column:
     )
 
 
-def _splitters(window: DataFrame, size: int, data_type: T.DataType) -> list[str]:
-    """Up to 64 values spread over the window. They steer the search; the counts decide."""
+def _splitters(window: DataFrame, size: int, kind: T.StructType) -> list[list[str | None]]:
+    """Up to 64 keys spread over the window. They steer the search; the counts decide."""
     fraction = min(1.0, SAMPLES / size)
     sample = window.sample(fraction=fraction, seed=size % 1_000_003) if fraction < 1 else window
-    drawn = sample.limit(4 * SAMPLES).agg(F.sort_array(F.collect_list("k")).alias("ks")).select("ks", F.size("ks").alias("n"))
+    drawn = sample.agg(F.sort_array(F.collect_list("k")).alias("ks")).select("ks", F.size("ks").alias("n"))
     step = F.greatest(F.floor(F.col("n") / SPLITTERS), F.lit(1)).cast("int")
     spread = F.filter("ks", lambda _, i: i % step == F.floor(step / 2)).alias("ks")
-    row = drawn.select(F.transform(spread, lambda k: _to_text(k, data_type)).alias("texts")).first()
+    row = drawn.select(F.transform(spread, lambda k: _texts(k, kind)).alias("texts")).first()
     if row["texts"]:
-        return list(dict.fromkeys(row["texts"]))
-    return [window.select(_to_text(F.col("k"), data_type).alias("t")).first()["t"]]
+        return [list(item) for item in dict.fromkeys(tuple(item) for item in row["texts"])]
+    return [list(window.select(_texts(F.col("k"), kind)).first()[0])]
+
+
+def _texts(key: Column, kind: T.StructType) -> Column:
+    return F.array(*[_to_text(key.getField(f.name), f.dataType) for f in kind.fields])
+
+
+def _literal(texts: list[str | None], kind: T.StructType) -> Column:
+    values = [F.lit(None).cast(f.dataType) if t is None else _from_text(t, f.dataType) for t, f in zip(texts, kind.fields)]
+    return F.struct(*[value.alias(f.name) for value, f in zip(values, kind.fields)])
 
 
 def _to_text(column: Column, data_type: T.DataType) -> Column:
@@ -141,10 +164,8 @@ def _from_text(text: str, data_type: T.DataType) -> Column:
     return F.lit(text).cast(data_type)
 
 
-def _some(df: DataFrame, n: int, heap_rows: int) -> DataFrame:
-    """Any ``n`` of rows that all order columns, and the hash of the rest, leave equal."""
-    if n <= heap_rows:
-        return df.limit(n)
+def _some(df: DataFrame, n: int) -> DataFrame:
+    """``n`` of rows of one key: copies of a row, or rows whose hashes collide, by all columns."""
     names = df.columns
     # Copies of a row fold into one row per task before the shuffle; what is left is one
     # row, or a few if a hash collides.

@@ -35,12 +35,13 @@ SELECT c_custkey, 'never late' AS kind FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')
 """,
     "sql_range_join": """
-SELECT o_orderpriority, count(*) AS lines,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
-FROM orders JOIN lineitem
-  ON o_orderkey = l_orderkey
- AND l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 365 DAYS
-GROUP BY o_orderpriority
+WITH stamped AS (SELECT event_type, ts, unix_seconds(CAST(ts AS TIMESTAMP)) div 60 AS minute FROM events),
+reaching AS (SELECT event_type, ts, explode(array(minute, minute + 1)) AS minute FROM stamped)
+SELECT a.event_type, b.event_type AS next_type, count(*) AS pairs
+FROM reaching a JOIN stamped b
+  ON a.minute = b.minute
+ AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 1 MINUTE
+GROUP BY a.event_type, b.event_type
 """,
     "sql_distinct_agg": """
 SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers,
@@ -68,10 +69,10 @@ SELECT * FROM (
 WHERE place <= 3
 """,
     "sql_dense_rank": """
-SELECT p_brand, p_partkey, p_size,
-       rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS place,
-       dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS size_place
-FROM part
+SELECT o_custkey, o_orderkey, o_orderpriority,
+       rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS place,
+       dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS level
+FROM orders
 """,
     "sql_lag": """
 SELECT event_id, user_id,
@@ -133,12 +134,15 @@ average AS (SELECT c_mktsegment, avg(CAST(spent AS DOUBLE)) AS mean
 SELECT c_mktsegment, round(mean, 2) AS mean FROM average
 """,
     "sql_recursive": """
-WITH RECURSIVE days(day) AS (
-  SELECT CAST(min(ts) AS DATE) FROM events
+WITH RECURSIVE spans(day, days) AS (
+  SELECT CAST(min(ts) AS DATE), datediff(CAST(max(ts) AS DATE), CAST(min(ts) AS DATE)) + 1 FROM events
   UNION ALL
-  SELECT date_add(day, 1) FROM days WHERE day < DATE'2024-01-31')
+  SELECT CASE WHEN half = 0 THEN day ELSE date_add(day, CAST(days div 2 AS INT)) END,
+         CASE WHEN half = 0 THEN CAST(days div 2 AS INT) ELSE CAST(days - days div 2 AS INT) END
+  FROM (SELECT day, days, explode(array(0, 1)) AS half FROM spans WHERE days > 1) halves)
 SELECT CAST(day AS STRING) AS day, coalesce(n, 0) AS events
-FROM days LEFT JOIN (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1) e ON d = day
+FROM spans LEFT JOIN (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1) e ON d = day
+WHERE days = 1
 """,
     "sql_lateral": """
 SELECT c_custkey, t.orders, t.latest
@@ -152,7 +156,7 @@ WHERE o_totalprice > (SELECT 1.5 * avg(i.o_totalprice) FROM orders i WHERE i.o_c
     "sql_in_subquery": """
 SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
 WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 40)
-  AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)
+  AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal < 0)
 """,
     "sql_distinct_on": """
 SELECT o_custkey, o_orderkey FROM (

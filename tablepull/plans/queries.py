@@ -20,15 +20,15 @@ from tablepull.operators.increment import (
     since,
 )
 from tablepull.operators.keys import first_per_key, key_violations
-from tablepull.operators.load import appended, load, replaced, upserted
+from tablepull.operators.load import appended, load, load_spec, replaced, upserted
 from tablepull.operators.manifest import manifest_documents, manifest_entries, typed_columns
-from tablepull.operators.profile import column_profile, column_profile_approx
+from tablepull.operators.profile import APPROX_ERROR, column_profile, column_profile_approx
 from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
 from tablepull.operators.toplimit import limit_batch
 from tablepull.plans.acceptance import ACCEPTANCE, VIEWS
 from tablepull.plans.estate import estate, estate_targets
-from tablepull.plans.run import run_specs, table_counts
-from tablepull.session import shared_dir, with_session
+from tablepull.plans.run import run_job, run_specs, table_counts
+from tablepull.session import remove_path, shared_dir, with_session
 from tablepull.sources.scan import even_cuts, parquet_tables, scan_query, scan_table, stride_counts
 from tablepull.spec import TableSpec
 from tablepull.streaming.ingest import ingest_new, ingested
@@ -152,6 +152,14 @@ def topk_limit(spark, sf_dir):
     return limit_batch(table(spark, sf_dir, "events"), "ts", 500, ("event_id",))
 
 
+@query
+def topk_limit_ties(spark, sf_dir):
+    """Ties and no tie-break, at two limits about the heap's size: rows kept of each day."""
+    lines = table(spark, sf_dir, "lineitem")
+    kept = [limit_batch(lines, "l_shipdate", n).groupBy(F.col("l_shipdate").alias("day")).agg(F.count(F.lit(1)).alias(name)) for n, name in ((9_999, "kept_small"), (10_001, "kept_large"))]
+    return kept[0].join(kept[1], "day", "full")
+
+
 @query
 def topk_limit_large(spark, sf_dir):
     """A limit too large for one task: two thirds of the rows, ties by all other columns."""
@@ -228,6 +236,14 @@ def csv_roundtrip_html(spark, sf_dir):
     return _roundtrip(spark, table(spark, sf_dir, "pages"), "csv-pages")
 
 
+@query
+def csv_roundtrip_one_column(spark, sf_dir):
+    """One column only: a NULL is an empty line, an empty text is two quotes."""
+    turns = table(spark, sf_dir, "conversations")
+    role = F.when(F.col("role") == "user", F.lit("")).when(F.col("role") != "assistant", F.concat("role", F.lit('\n"'), "text"))
+    return _roundtrip(spark, turns.select(role.alias("role")), "csv-one")
+
+
 @query
 def csv_roundtrip_nulls(spark, sf_dir):
     """NULL and empty text stay apart: roles by turn, one of them NULL, one empty."""
@@ -248,8 +264,9 @@ def csv_arity(spark, sf_dir):
 @query
 def export_counts(spark, sf_dir):
     views = {"orders": table(spark, sf_dir, "orders")}
-    specs = [spec for spec in _specs() if spec.output_table != "documents"]
-    results = run_specs(spark, specs, parquet_tables(spark, sf_dir), shared_dir(spark, "export"), views=views)
+    out = shared_dir(spark, "export")
+    results = run_specs(spark, _specs(), parquet_tables(spark, sf_dir), out, views=views)
+    remove_path(spark, out)
     return spark.createDataFrame([(r.output_table, r.rows) for r in results], "table_name string, rows long")
 
 
@@ -274,6 +291,37 @@ def export_increment(spark, sf_dir):
     return read_csv(spark, f"{out}/2/events.csv", list(spec.columns))
 
 
+@query
+def export_and_load(spark, sf_dir):
+    """Two runs of a job by configuration; the flags of its spec say how each enters the target: by key."""
+    out = shared_dir(spark, "export-and-load")
+    row = {
+        "outputTable": "events",
+        "table": {"schema": "main", "tableName": "events"},
+        "columns": ["event_id", "ts", "event_type", "value"],
+        "incremental": True,
+        "primaryKey": ["event_id"],
+        "incrementalFetchingColumn": "ts",
+        "incrementalFetchingLimit": 2000,
+    }
+    job = {"tables": [row], "initQueries": ["SET TIME ZONE 'UTC'"], "dataTypeSupport": "authoritative"}
+    spec, states = TableSpec.from_config(row), {}
+    for run in (1, 2):
+        result = run_job(spark, job, lambda session: parquet_tables(session, sf_dir), f"{out}/{run}", states)[0]
+        states = {"events": result.state}
+        load_spec(spark, spec, read_csv(spark, f"{out}/{run}/events.csv", list(spec.columns)), f"{out}/target")
+    return spark.read.parquet(f"{out}/target")
+
+
+@query
+def caught_up_increment(spark, sf_dir):
+    """A limited run on a table without new rows sends the row of its state again and keeps the state."""
+    events = table(spark, sf_dir, "events")
+    last = read_mark(max_watermark(events, "event_id"))
+    batch, state = run_increment(events, "event_id", last, 1)
+    return batch.select("event_id", F.lit(state).alias("state"))
+
+
 # Load modes and keys
 
 
@@ -302,6 +350,24 @@ def load_upsert(spark, sf_dir):
     return upserted(base, batch, ["o_orderkey"], [F.col("o_totalprice").desc()])
 
 
+@query
+def load_upsert_stored(spark, sf_dir):
+    base, batch = _base_and_batch(spark, sf_dir)
+    path = shared_dir(spark, "target")
+    load(spark, base, path, "replace")
+    load(spark, batch, path, "upsert", ["o_orderkey"], [F.col("o_totalprice").desc()])
+    return spark.read.parquet(path)
+
+
+@query
+def load_append_stored(spark, sf_dir):
+    base, batch = _base_and_batch(spark, sf_dir)
+    path = shared_dir(spark, "target")
+    load(spark, base, path, "replace")
+    load(spark, batch.select(*reversed(batch.columns)), path, "append")
+    return spark.read.parquet(path)
+
+
 @query
 def load_upsert_partitioned(spark, sf_dir):
     """The same through stored tables: only the partitions the batch touches are rewritten."""
@@ -420,8 +486,11 @@ def column_profile_documents(spark, sf_dir):
 
 @query
 def column_profile_one_pass(spark, sf_dir):
-    """The one-pass form; its estimated distinct counts are left out here."""
-    return column_profile_approx(table(spark, sf_dir, "lineitem")).drop("distinct_values")
+    """The one-pass form; ``near`` says whether an estimated distinct count is within three times the stated error."""
+    lines = table(spark, sf_dir, "lineitem")
+    exact = column_profile(lines).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1), 3 * APPROX_ERROR * F.col("exact"))
+    return column_profile_approx(lines).join(exact, "column_name").withColumn("near", near).drop("distinct_values", "exact")
 
 
 # Streaming

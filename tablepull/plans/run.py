@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from tablepull.functions.names import sanitize_names
 from tablepull.messages import EMPTY_RESULT
 from tablepull.operators.catalog import listing_of
-from tablepull.operators.increment import guard_progress, increment_type, plan_increment
+from tablepull.operators.increment import increment_type, plan_increment
 from tablepull.operators.keys import check_keys
 from tablepull.operators.manifest import manifest_documents, targets_of
 from tablepull.operators.sinks import write_csv, write_document
+from tablepull.session import with_session
 from tablepull.sources.scan import Resolver, scan_query, scan_table
-from tablepull.spec import SpecError, TableSpec
+from tablepull.spec import SpecError, TableSpec, specs_from_config
 
 STATE_KEY = "lastFetchedRow"
 
@@ -35,9 +36,10 @@ def source_of(spark: SparkSession, spec: TableSpec, resolve: Resolver, views: Ma
     return scan_query(spark, spec.query, views) if spec.query else scan_table(resolve, spec)
 
 
-def export_table(spark: SparkSession, spec: TableSpec, df: DataFrame, out_dir: str, state: Mapping[str, str] | None = None) -> TableResult:
-    """Exports one table to ``<out_dir>/<output table>.csv`` and keeps its new state beside it.
+def export_table(spark: SparkSession, spec: TableSpec, df: DataFrame, out_dir: str, state: Mapping[str, str] | None = None, manifest: str | None = None) -> TableResult:
+    """Exports one table to ``<out_dir>/<output table>.csv``, then its manifest, and its new state last.
 
+    A job that fails on the way leaves no state, so the next run starts where this one did.
     Rows and mark are counted by the job that writes the files. An empty increment keeps
     the old state and writes neither files nor a state.
     """
@@ -49,7 +51,8 @@ def export_table(spark: SparkSession, spec: TableSpec, df: DataFrame, out_dir: s
 
     path = f"{out_dir.rstrip('/')}/{spec.output_table}"
     result = write_csv(batch, f"{path}.csv", spec.increment_column, spec.bool_style)
-    guard_progress(result.rows, spec.increment_limit, old, result.last_value, spec.increment_column or "")
+    if manifest is not None:
+        write_document(spark, manifest, f"{path}.csv.manifest")
     new = dict(state or {})
     if result.last_value is not None:
         new[STATE_KEY] = result.last_value
@@ -69,8 +72,7 @@ def describe(spark: SparkSession, sources: Mapping[TableSpec, DataFrame], listin
         specs = [spec for spec in sources if bool(spec.query) == query_form]
         if not specs:
             continue
-        parts = [_described(spark, spec, sources[spec], listing) for spec in specs]
-        rows = manifest_documents(reduce(DataFrame.unionByName, parts), targets_of(spark, specs), typed, query_form, prefix)
+        rows = manifest_documents(_described(spark, specs, sources, None if query_form else listing), targets_of(spark, specs), typed, query_form, prefix)
         manifests.update({row["destination"]: row["manifest"] for row in rows.collect()})
     missing = [spec.output_table for spec in sources if spec.output_table not in manifests]
     if missing:
@@ -78,20 +80,19 @@ def describe(spark: SparkSession, sources: Mapping[TableSpec, DataFrame], listin
     return manifests
 
 
-def _described(spark: SparkSession, spec: TableSpec, df: DataFrame, listing: DataFrame | None) -> DataFrame:
-    schema, table = spec.schema or "", spec.table or spec.output_table
-    if listing is None or spec.query:
-        own = listing_of(spark, {(schema, table): df})
-        if spec.query:
-            own = own.withColumn("nullable", F.lit(True))
-    else:
-        own = listing.filter((F.col("table_schema") == schema) & (F.col("table_name") == table))
-    position = F.col("ordinal_position")
-    if spec.columns:
-        # The lists follow the exported order; the positions stay the source's own.
-        position = F.array_position(F.array(*[F.lit(name) for name in spec.columns]), F.col("column_name")).cast("int")
-    own = own.withColumn("export_position", position).filter(F.col("export_position") != 0)
-    return own.withColumn("destination", F.lit(spec.output_table))
+def _described(spark: SparkSession, specs: list[TableSpec], sources: Mapping[TableSpec, DataFrame], listing: DataFrame | None) -> DataFrame:
+    """The columns of all exports: the listing is joined once, however many specs there are."""
+    named = {spec: (spec.schema or "", spec.table or spec.output_table) for spec in specs}
+    if listing is None:
+        # Positions are those of the source, of which the frame may be a projection.
+        listing = listing_of(spark, {named[spec]: sources[spec] for spec in specs}, {named[spec] for spec in specs if spec.query})
+    wanted = [(*named[spec], spec.output_table, list(spec.columns)) for spec in specs]
+    targets = spark.createDataFrame(wanted, "table_schema string, table_name string, destination string, exported array<string>")
+    rows = listing.join(F.broadcast(targets), ["table_schema", "table_name"])
+    # The lists follow the exported order; the positions stay the source's own.
+    place = F.array_position("exported", F.col("column_name")).cast("int")
+    rows = rows.withColumn("export_position", F.when(F.size("exported") == 0, F.col("ordinal_position")).otherwise(place))
+    return rows.filter(F.col("export_position") != 0).drop("exported")
 
 
 def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver, out_dir: str, states: Mapping[str, Mapping[str, str]] | None = None, views: Mapping[str, DataFrame] | None = None, listing: DataFrame | None = None, typed: bool = False, prefix: str = "", parallel: int = 4) -> list[TableResult]:
@@ -104,6 +105,8 @@ def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver
     if len(set(names)) < len(names):
         raise SpecError("Two specs write to one output table.")
     sources = {spec: source_of(spark, spec, resolve, views or {}) for spec in enabled}
+    # Described from the whole table: positions are those of the source.
+    whole = {spec: df if spec.query else resolve(spec.schema, spec.table) for spec, df in sources.items()}
     for spec, df in sources.items():
         clean = sanitize_names(df.columns)
         if spec.primary_key:
@@ -111,17 +114,26 @@ def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver
         if spec.increment_column:
             increment_type(df, spec.increment_column)
 
-    def export(spec: TableSpec) -> TableResult:
-        return export_table(spark, spec, sources[spec], out_dir, (states or {}).get(spec.output_table))
+    manifests = describe(spark, whole, listing, typed, prefix)
 
-    def keep(named: tuple[str, str]) -> None:
-        write_document(spark, named[1], f"{out_dir.rstrip('/')}/{named[0]}.csv.manifest")
+    def export(spec: TableSpec) -> TableResult:
+        name = spec.output_table
+        return export_table(spark, spec, sources[spec], out_dir, (states or {}).get(name), manifests[name])
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
-        described = pool.submit(describe, spark, sources, listing, typed, prefix)
-        results = list(pool.map(export, enabled))
-        list(pool.map(keep, described.result().items()))
-    return results
+        return list(pool.map(export, enabled))
+
+
+def run_job(spark: SparkSession, parameters: Mapping[str, Any], tables: Callable[[SparkSession], Resolver], out_dir: str, states: Mapping[str, Mapping[str, str]] | None = None, listing: DataFrame | None = None, prefix: str = "") -> list[TableResult]:
+    """Runs a job by its configuration: specs, ``initQueries`` and ``dataTypeSupport``.
+
+    The init statements run in a session of the job's own; ``tables`` gives that session's
+    tables. Every ``authoritative`` job writes typed manifests.
+    """
+    database = parameters.get("db") or {}
+    own = with_session(spark, init=list(database.get("initQueries") or parameters.get("initQueries") or []))
+    typed = (parameters.get("dataTypeSupport") or parameters.get("data_type_support")) == "authoritative"
+    return run_specs(own, specs_from_config(parameters), tables(own), out_dir, states, listing=listing, typed=typed, prefix=prefix)
 
 
 def table_counts(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver, views: Mapping[str, DataFrame] | None = None) -> DataFrame:

@@ -76,6 +76,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (old, new))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+        raise RuntimeError(f"{old} could not be renamed to {new}.")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -53,7 +53,7 @@ def scan_query(spark: SparkSession, query: str, views: Mapping[str, DataFrame] |
     session = with_session(spark, {**QUERY_CONF, **(conf or {})})
     for name, df in (views or {}).items():
         _share(session, name, df)
-    return session.sql(query.rstrip("; \n\t"))
+    return session.sql(query.rstrip("; \n\r\t"))
 
 
 def _share(session: SparkSession, name: str, df: DataFrame) -> None:
@@ -80,7 +80,7 @@ def jdbc_options(
     """
     options = {**connection, "fetchsize": str(batch_size)}
     if query:
-        text = query.rstrip("; \n\t")
+        text = query.rstrip("; \n\r\t")
         options["dbtable" if partition else "query"] = f"({text}) t" if partition else text
     elif table:
         names = [name for name in (schema, table) if name]

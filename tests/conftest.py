@@ -23,8 +23,10 @@ def spark():
 def types_table(spark):
     """One column per base type, four rows."""
     rows = [
-        ("abcdef"[:6] + "gh"[:i] + ("i" if i == 3 else ""), n, Decimal(d), b, datetime.date(2017, 8, 5 + i))
-        for i, (n, d, b) in enumerate([(12, "22.400", False), (13, "22.420", True), (14, "22.430", False), (22, "22.440", True)])
+        ("alpha", 7, Decimal("5.100"), False, datetime.date(2020, 2, 28)),
+        ("beta", -3, Decimal("0.001"), True, datetime.date(2020, 2, 29)),
+        ("gamma", 0, Decimal("-12.500"), False, datetime.date(2020, 3, 1)),
+        ("delta", 41, Decimal("99.999"), True, datetime.date(1999, 12, 31)),
     ]
     return spark.createDataFrame(
         rows, "character string, integer int, `decimal` decimal(5,3), `boolean` boolean, `date` date"
@@ -49,7 +51,7 @@ def increments(spark):
 @pytest.fixture(scope="session")
 def escaping(spark):
     rows = [
-        ("line with enclosure", "second column"),
+        ("plain words", "more of them"),
         ('quotes "" inside, and a comma', 'ends in quotes ""'),
         ("two\nlines", "a \t tab"),
         ("one \\ backslash", 'backslash and quote \\""'),

@@ -58,8 +58,8 @@ def test_any_name_can_be_selected(spark):
 
 def test_types_table_text(types_table):
     rows = [tuple(r) for r in render_text(types_table).collect()]
-    assert rows[0] == ("abcdef", "12", "22.400", "f", "2017-08-05")
-    assert rows[3] == ("abcdefghi", "22", "22.440", "t", "2017-08-08")
+    assert rows[0] == ("alpha", "7", "5.100", "f", "2020-02-28")
+    assert rows[3] == ("delta", "41", "99.999", "t", "1999-12-31")
 
 
 def test_bool_styles(spark):

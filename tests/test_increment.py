@@ -66,7 +66,13 @@ def test_stalled_increment_is_refused(increments):
         run_increment(increments, TIME, state, 2)
     batch, after = run_increment(increments, TIME, state, 6)
     assert (batch.count(), after) == (6, "2021-01-05 13:43:27")
-    guard_progress(2, None, "1", "1", "c")
+    guard_progress(2, 0, 1, "1", "c")
+
+
+def test_caught_up_increment_sends_its_boundary_again(increments):
+    last = "2021-01-05 13:43:27"
+    batch, after = run_increment(increments, TIME, last, 1)
+    assert (ids(batch), after) == ([6], last)
 
 
 def test_rows_without_a_value(spark):
@@ -178,9 +184,22 @@ def test_state_of_zoned_timestamps_and_floats(spark):
 def test_large_limit_is_a_filter_and_no_sort(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     plan = limit_batch(lines, "l_extendedprice", 3000, heap_rows=100)._jdf.queryExecution().toString()
-    assert "Exchange" not in plan and "TakeOrdered" not in plan and "l_extendedprice" in plan
+    assert "Exchange" not in plan and "TakeOrdered" not in plan and "LessThanOrEqual(l_extendedprice" in plan
     small = limit_batch(lines, "l_extendedprice", 50)._jdf.queryExecution().toString()
-    assert "TakeOrderedAndProject" in small
+    assert "Exchange" not in small and "TakeOrdered" not in small
+
+
+def test_limit_takes_the_same_rows_at_every_heap_and_layout(spark):
+    rows = [(i % 7, f"t{i}") for i in range(600)] + [(3, "copy")] * 30
+    df = spark.createDataFrame(rows, "k int, t string")
+    for n in (1, 100, 270, 300, 629):
+        wanted = None
+        for heap in (5, 50, 10_000):
+            for parts in (1, 3):
+                got = sorted(cut(df.repartition(parts), n, heap_rows=heap))
+                wanted = wanted or got
+                assert got == wanted and len(got) == n
+    assert cut(df, 0) == []
 
 
 # Strides

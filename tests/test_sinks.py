@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablepull import SpecError, TableSpec
+from tablepull.operators.catalog import listing_of
 from tablepull.operators.keys import key_violations
-from tablepull.operators.load import load, mode_of, upserted
+from tablepull.operators.load import load, load_spec, mode_of, upserted
 from tablepull.operators.profile import column_profile, column_profile_approx
-from tablepull.operators.sinks import check_arity, read_csv, write_csv
-from tablepull.plans.run import export_table, result_frame, run_specs
+from tablepull.operators.sinks import check_arity, read_csv, read_document, write_csv
+from tablepull.plans.run import export_table, result_frame, run_job, run_specs
 from tablepull.session import broadcast_if_small
 from tablepull.sources.scan import parquet_tables
 from tablepull.streaming.ingest import ingest_new, ingested
@@ -32,10 +33,10 @@ def rows_of(df):
 
 def test_csv_bytes(spark, types_table, tmp_path):
     result = write_csv(types_table.orderBy("integer"), str(tmp_path / "types"), "integer", single_file=True)
-    assert (result.rows, result.last_value) == (4, "22")
+    assert (result.rows, result.last_value) == (4, "41")
     assert text_of(tmp_path / "types").splitlines()[:2] == [
-        '"abcdef","12","22.400","f","2017-08-05"',
-        '"abcdefg","13","22.420","t","2017-08-06"',
+        '"beta","-3","0.001","t","2020-02-29"',
+        '"gamma","0","-12.500","f","2020-03-01"',
     ]
 
 
@@ -51,14 +52,21 @@ def test_csv_keeps_every_character(spark, escaping, tmp_path):
 
 
 def test_leading_zeros_stay(spark, tmp_path):
-    df = spark.createDataFrame([("04013", "", "2013-09-23 22:38:29"), ("zipcode", "x", "createdat")], "z string, s string, c string")
+    df = spark.createDataFrame([("00720", "", "1999-01-01 00:00:00"), ("code", "x", "made")], "z string, s string, c string")
     write_csv(df, str(tmp_path / "sales"))
     assert rows_of(read_csv(spark, str(tmp_path / "sales"), df.columns)) == rows_of(df)
 
 
+def test_one_column_keeps_null_and_empty(spark, tmp_path):
+    values = [(None,), ("",), ("x",), ('say "a"\n\n""',), ("",), (None,), ("\n",)]
+    write_csv(spark.createDataFrame(values, "c string"), str(tmp_path / "one"))
+    got = [r[0] for r in read_csv(spark, str(tmp_path / "one"), ["c"]).collect()]
+    assert sorted(got, key=repr) == sorted((v[0] for v in values), key=repr)
+
+
 def test_empty_result_leaves_no_files(spark, types_table, tmp_path):
     path = tmp_path / "none"
-    result = write_csv(types_table.filter("integer < 0"), str(path), "integer")
+    result = write_csv(types_table.filter("integer < -9"), str(path), "integer")
     assert (result.rows, result.last_value, result.path) == (0, None, None)
     assert not path.exists()
 
@@ -238,3 +246,47 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert taken() == total
     events.write.mode("append").parquet(paths[0])
     assert taken() == 2 * total
+
+
+def test_upsert_keeps_what_the_batch_does_not_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, a string, b int")
+    load(spark, base, path, "replace")
+    for partition_by in ([], ["k"]):
+        with pytest.raises(SpecError, match='Column "b"'):
+            load(spark, base.drop("b"), path, "upsert", ["k"], partition_by=partition_by)
+    with pytest.raises(SpecError, match="bigint in the batch"):
+        load(spark, base.withColumn("k", F.col("k").cast("long")), path, "append")
+    with pytest.raises(SpecError, match="NULL in its key"):
+        load(spark, spark.createDataFrame([(None, "x", 1), (None, "y", 2)], base.schema), path, "upsert", ["k"])
+    assert rows_of(spark.read.parquet(path)) == rows_of(base)
+    load(spark, spark.createDataFrame([(9, 2, "new"), (3, 4, "more")], "b int, k int, a string"), path, "upsert", ["k"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a", 1), (2, "new", 9), (4, "more", 3)]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+
+
+def test_frame_upsert_counts_null_keys_as_equal(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "one")], "k int, v string")
+    batch = spark.createDataFrame([(None, "new")], target.schema)
+    once = upserted(target, batch, ["k"])
+    assert upserted(once, batch, ["k"]).count() == 2 and {r["v"] for r in once.collect()} == {"new", "one"}
+
+
+def test_a_job_that_cannot_be_described_leaves_nothing(spark, types_table, tmp_path):
+    listing = listing_of(spark, {("public", "other"): types_table})
+    spec = TableSpec("types", schema="public", table="types", increment_column="integer")
+    with pytest.raises(SpecError, match="was not found in the catalogue"):
+        run_specs(spark, [spec], lambda schema, table: types_table, str(tmp_path), listing=listing)
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_job_options(spark, tmp_path):
+    table = lambda session: lambda schema, name: session.range(3).select("id", F.current_timezone().alias("zone"))
+    row = {"outputTable": "t", "table": {"schema": "s", "tableName": "t"}, "batchSize": 500, "incremental": True}
+    job = {"tables": [row], "db": {"initQueries": ["SET TIME ZONE 'Asia/Manila'"]}, "dataTypeSupport": "authoritative"}
+    run_job(spark, job, table, str(tmp_path))
+    assert {r["zone"] for r in read_csv(spark, str(tmp_path / "t.csv"), ["id", "zone"]).collect()} == {"Asia/Manila"}
+    assert "schema" in read_document(spark, str(tmp_path / "t.csv.manifest"))
+    for _ in range(2):
+        load_spec(spark, TableSpec.from_config(row), spark.range(3), str(tmp_path / "loaded"))
+    assert spark.read.parquet(str(tmp_path / "loaded")).count() == 6
