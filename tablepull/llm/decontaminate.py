@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablepull.llm.hashing import chunks, combine, word_hashes
+from tablepull.llm.tables import filtered
 
 # Bytes of benchmark text whose index is copied to all executors at once; more goes in further passes.
 INDEX_BYTES = 4 * 1024 * 1024
@@ -211,7 +212,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows of ``docs``, all columns, in which no item of ``benchmark`` is found; see ``contaminated``."""
     at = docs.columns.index(text_col)
     for index in _indexes(benchmark, item_col, item_text_col, size):
-        docs = docs.mapInArrow(_dropper(_shared(docs.sparkSession, index), bar, at), docs.schema)
+        docs = filtered(docs, _dropper(_shared(docs.sparkSession, index), bar, at))
     return docs
 
 

@@ -25,7 +25,7 @@ CLOSES = {
 # What it costs to reject a node inside main text, in log odds.
 APART = 3.0
 
-_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|/?[a-zA-Z][^>]*\Z|/[^>]*>)""", re.S)
+_TAG = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|/?(?:[a-zA-Z][^>]*)?\Z|/[^>]*>)""", re.S)
 _MARK = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepull.llm.hashing import chunks, combine, word_hashes
-from tablepull.llm.tables import broadcast_below, stored
+from tablepull.llm.tables import broadcast_below, filtered, stored
 
 # Labelled rows (the first ones by hash of their id) and feature ids the descent is fitted on, at most.
 FIT_ROWS = 12_000
@@ -213,4 +213,4 @@ def keep_quality(docs: DataFrame, model: QualityModel, bar: float, text_col: str
         for batch in batches:
             yield batch.filter(pa.array(_scored(batch.column(at), m) >= bar, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run)

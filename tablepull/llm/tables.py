@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablepull.session import shared_dir
 
@@ -24,6 +27,12 @@ def broadcast_below(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def filtered(df: DataFrame, keep: Callable[[Iterator], Iterator]) -> DataFrame:
+    """``df`` through a function that drops rows of its Arrow batches; columns may have any names."""
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(df.schema.fields)])
+    return df.toDF(*plain.names).mapInArrow(keep, plain).toDF(*df.columns)
+
+
 def repeated(df: DataFrame, copies: str, number: str) -> DataFrame:
     """Every row as often as its column ``copies`` says, numbered from 0 in ``number``, without ``copies``."""
     some = 10_000
