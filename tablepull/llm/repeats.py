@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
-from tablepull.llm.hashing import chunks, prefixes, span_hash, texts
+from tablepull.llm.hashing import chunks, mix, prefixes, span_hash, texts
 from tablepull.llm.tables import stored
 
 LENGTH = 100
@@ -77,9 +77,14 @@ def _runs(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                     ends = offsets if len(offsets) > 2 else np.array([0, len(piece)])
                     row, first, more, bucket, prints = window_runs(piece, ends, length, gram)
                     span = (first + base) << 8 | more
+                    # A run that its own text has seen is settled here: however often a text repeats
+                    # itself, it adds one row to a bucket. Settled rows are dealt out by themselves.
+                    own = np.ones(len(row), bool)
+                    own[np.unique(mix(mix(bucket ^ row.astype(np.uint64)) ^ prints), return_index=True)[1]] = False
+                    bucket = np.where(own, mix(bucket + span.astype(np.uint64)), bucket)
                     yield pa.record_batch(
-                        [pa.array(bucket.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(ids[top + row]), pa.array(span)],
-                        names=["bucket", "print", "id", "span"],
+                        [pa.array(bucket.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(ids[top + row]), pa.array(span), pa.array(own)],
+                        names=["bucket", "print", "id", "span", "own"],
                     )
 
     return run
@@ -228,12 +233,12 @@ def _single(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, from, to) of byte ranges of ``rows`` (id, text) that repeated windows cover; ranges may overlap."""
-    runs = rows.mapInArrow(_runs(length, gram), "bucket long, print long, id long, span long")
+    runs = rows.mapInArrow(_runs(length, gram), "bucket long, print long, id long, span long, own boolean")
     whole, equal = Window.partitionBy("bucket"), Window.partitionBy("bucket", "print").orderBy("id", "span")
     runs = runs.withColumn("low", F.min("print").over(whole)).withColumn("high", F.max("print").over(whole)).withColumn("members", F.count(F.lit(1)).over(whole))
-    runs = runs.where("members > 1").withColumn("first", F.first(F.struct("id", "span")).over(equal))
-    runs = stored(runs.select("bucket", "print", "id", "span", "first", (F.col("low") != F.col("high")).alias("mixed")), "runs")
-    copy = F.struct("id", "span") != F.col("first")
+    runs = runs.where("members > 1 or own").withColumn("first", F.first(F.struct("id", "span")).over(equal))
+    runs = stored(runs.select("bucket", "print", "id", "span", "own", "first", (F.col("low") != F.col("high")).alias("mixed")), "runs")
+    copy = F.col("own") | (F.struct("id", "span") != F.col("first"))
     start = F.shiftright("span", 8)
     spans = runs.where(copy).select("id", start.alias("from"), (start + F.col("span").bitwiseAND(255) + length).alias("to"))
     open_ = runs.where(~copy & F.col("mixed")).select("bucket", "id", "span").distinct()
