@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
-from tablepull.llm.tables import stored
+from tablepull.llm.tables import broadcast_below, drop_stored, stored
 
 # Lines of fewer words are never removed.
 MIN_WORDS = 3
 # Lines of at least so many words are also removed if they differ by one word from an earlier one.
 NEAR_WORDS = 8
+# Bytes of a line's place in a table that is copied to all executors, at most.
+PLACE_BYTES = 64
 _BLANK = "[\\x20\\x09-\\x0D]+"
 _AT = ["l_doc", "l_text", "l_no"]
 
@@ -33,7 +35,13 @@ def _words(line: Column) -> Column:
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = qcol(text_col)
     rows = docs.select(qcol(id_col).alias("l_doc"), F.xxhash64(text).alias("l_text"), F.posexplode(F.split(text, "\n")).alias("l_no", "l_line"))
-    return rows.select(*_AT, _words(F.col("l_line")).alias("w")).withColumn("n", F.when(F.col("w")[0] == "", 0).otherwise(F.size("w")))
+    return rows
+
+
+def _split_lines(lines: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of the lines, their words and the number of words."""
+    rows = lines.select(*columns, _words(F.col("l_line")).alias("w"))
+    return rows.withColumn("n", F.when(F.col("w")[0] == "", 0).otherwise(F.size("w")))
 
 
 def _halves(words: Column, n: Column) -> Column:
@@ -41,10 +49,10 @@ def _halves(words: Column, n: Column) -> Column:
 
     A line of n and one of n + 1 words have halves of one common size.
     """
-    sizes = F.array_distinct(F.array(F.expr("int(n div 2)"), F.expr("int((n - 1) div 2)")))
-    first = F.transform(sizes, lambda k: F.xxhash64(F.lit("first"), F.slice(words, 1, k)))
-    last = F.transform(sizes, lambda k: F.xxhash64(F.lit("last"), F.slice(words, n - k + 1, k)))
-    return F.concat(first, last)
+    sizes = [F.expr("int(n div 2)"), F.expr("int((n - 1) div 2)")]
+    first = [F.xxhash64(F.lit("first"), F.slice(words, 1, k)) for k in sizes]
+    last = [F.xxhash64(F.lit("last"), F.slice(words, n - k + 1, k)) for k in sizes]
+    return F.array_distinct(F.array(*first, *last))
 
 
 def _variants(words: DataFrame) -> DataFrame:
@@ -87,8 +95,9 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     keys = able.select("p", F.explode("halves").alias("half"))
     shared = keys.groupBy("half").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("half")
     kept = stored(keys.join(shared, "half").select("p").distinct(), "lines")
-    words = lines.select(F.struct(*_AT).alias("p"), "w", "n").join(kept, "p", "left_semi").dropDuplicates(["p"])
-    words = stored(words, "lines")
+    # Lines are cut into words only now: few of them are left, or they are shuffled as text.
+    left = lines.select(F.struct(*_AT).alias("p"), "l_line").join(broadcast_below(kept, kept.count(), PLACE_BYTES), "p", "left_semi")
+    words = stored(_split_lines(left.dropDuplicates(["p"]), "p"), "lines")
     variants = stored(_variants(words), "variants")
     # The earliest member of a bucket stands for it. Replaced words: any member; otherwise the
     # whole line for those without a word, and the earliest of these for the whole line.
@@ -99,22 +108,26 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     other = F.when(F.col("role") == "s", F.col("s")).when(F.col("role") == "d", F.col("f")).otherwise(F.col("d"))
     pairs = variants.join(buckets, "key").select("p", other.alias("q")).where("q < p").distinct()
     checked = pairs.join(words.select("p", F.col("w").alias("a")), "p").join(words.select(F.col("p").alias("q"), F.col("w").alias("b")), "q")
-    return checked.where(_within_one(F.col("a"), F.col("b"))).select("p").distinct()
+    near = stored(checked.where(_within_one(F.col("a"), F.col("b"))).select("p").distinct(), "near")
+    drop_stored(kept, words, variants)
+    return near
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(l_doc, l_text, l_no) of the lines to remove: id, hash of the text, number of the line from 0; see ``dedup_lines``."""
     lines = _lines(docs, id_col, text_col)
-    long = lines.where(F.col("n") >= MIN_WORDS)
+    long = _split_lines(lines, *_AT, "l_line").where(F.col("n") >= MIN_WORDS)
     halves = F.when(F.col("n") >= NEAR_WORDS, _halves(F.col("w"), F.col("n")))
     facts = long.select(*_AT, "n", F.xxhash64("w").alias("h"), F.xxhash64(F.lit(1), "w").alias("g"), halves.alias("halves"))
     facts = stored(facts, "facts")
     distinct = facts.groupBy("h", "g").agg(F.min(F.struct(*_AT)).alias("p"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     distinct = stored(distinct, "distinct")
-    near = _near(long, distinct).withColumn("near", F.lit(True))
-    firsts = distinct.select("h", "g", "p").join(near, "p", "left")
+    near = _near(lines, distinct)
+    firsts = distinct.select("h", "g", "p").join(near.withColumn("near", F.lit(True)), "p", "left")
     judged = facts.select(*_AT, "h", "g").join(firsts, ["h", "g"])
-    return judged.where(F.col("near") | (F.struct(*_AT) != F.col("p"))).select(*_AT).distinct()
+    gone = stored(judged.where(F.col("near") | (F.struct(*_AT) != F.col("p"))).select(*_AT).distinct(), "gone")
+    drop_stored(facts, distinct, near)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
@@ -130,9 +143,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal in id and text are one document and lose the same lines. ``counts`` names two more columns: the
     number of lines and of removed lines. An empty table gives an empty result.
     """
-    gone = removed_lines(docs, id_col, text_col).groupBy("l_doc", "l_text").agg(F.collect_set("l_no").alias("l_gone"))
-    # The row travels as one struct, so that no column of it can clash with those added here.
-    rows = docs.select(F.struct(*[qcol(c) for c in docs.columns]).alias("row"), qcol(id_col).alias("l_id"), qcol(text_col).alias("l_old"))
+    lines = removed_lines(docs, id_col, text_col)
+    gone = broadcast_below(lines.groupBy("l_doc", "l_text").agg(F.collect_set("l_no").alias("l_gone")), lines.count(), PLACE_BYTES)
+    # The other columns travel as one struct, so that none can clash with those added here.
+    rest = F.struct(F.lit(0).alias("l_rest"), *[qcol(c) for c in docs.columns if c != text_col])
+    rows = docs.select(rest.alias("row"), qcol(id_col).alias("l_id"), qcol(text_col).alias("l_old"))
     rows = rows.join(gone, (F.xxhash64("l_old") == F.col("l_text")) & F.col("l_id").eqNullSafe(F.col("l_doc")), "left")
     rows = rows.select("row", "l_old", "l_gone", F.split("l_old", "\n").alias("l_parts"))
     left = F.array_except(F.sequence(F.lit(0), F.size("l_parts") - 1), F.col("l_gone"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
 from tablepull.llm.hashing import mix, shingle_sets
-from tablepull.llm.tables import components, stored
+from tablepull.llm.tables import components, drop_stored, stored
 
 # MinHash values on each side; two sets meet in a table for each pair of values. For a similarity of
 # 0.75 a pair meets in no table with a probability of 2 * 0.25 ** 8 = 3e-5 at most.
@@ -105,11 +105,13 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
 
 def _open_people(pairs: DataFrame) -> DataFrame:
     """(id, component, family) of the families, joined by all close pairs, that links leave in several components."""
-    families = components(pairs.select("a", "b")).withColumnRenamed("component", "family")
-    people = families.join(components(pairs.where("linked").select("a", "b")), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    families, linked = components(pairs.select("a", "b")), components(pairs.where("linked").select("a", "b"))
+    people = families.withColumnRenamed("component", "family").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
     stats = people.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     # A family of two is done: its only pair has been compared.
-    return stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
+    out = stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
+    drop_stored(families, linked)
+    return out
 
 
 def _family_links(people: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,9 +181,12 @@ def _linked(texts: DataFrame, described: DataFrame, size: int, percent: int) ->
     rows = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     sets = stored(rows.mapInArrow(_sets(size), "id long, items array<long>"), "sets")
     pairs = _compared(sets, _hub_pairs(members), percent)
+    drop_stored(members)
     people = _open_people(pairs)
     links = pairs.where("linked").select("a", "b")
-    return links if people.isEmpty() else links.union(_family_links(people, sets, percent))
+    links = links if people.isEmpty() else links.union(_family_links(people, sets, percent))
+    drop_stored(sets, people)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:

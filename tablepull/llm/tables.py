@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablepull.session import shared_dir
+from tablepull.session import remove_path, shared_dir
 
 # Sides of a join up to this size are copied to every executor; larger ones are shuffled.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -19,7 +19,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, f"llm-{purpose}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Removes tables of ``stored`` that nothing reads any more."""
+    for table in tables:
+        remove_path(table.sparkSession, table.stored_at)
 
 
 def broadcast_below(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
@@ -66,8 +74,11 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         after = stored(small.where("u != v").distinct(), "edges")
+        drop_stored(now, large)
         now, last, before = after, before, state(after)
         if before == last:
             break
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return stored(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots), "components")
+    out = stored(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots), "components")
+    drop_stored(now)
+    return out
