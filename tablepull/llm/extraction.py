@@ -24,6 +24,8 @@ from tablepull.llm.dom import FEATURES, Page
 # Pages (the first ones by hash of their id) that the model learns from, and the layouts composed of each.
 SAMPLE_PAGES = 240
 LAYOUTS = 6
+# How often a node of a given page counts beside those of composed pages.
+GIVEN = 4
 _MAIN = {"article", "main"}
 _REST = {"nav", "aside", "footer", "header", "form"}
 
@@ -136,7 +138,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parted = [p for p in parted if p[0]]
     x, y = [], []
 
-    def add(page: Page, kept: list[bool]) -> None:
+    def add(page: Page, kept: list[bool], times: int = 1) -> None:
         holds = [False] * len(kept)
         for i in range(len(kept) - 1, 0, -1):
             holds[i] |= kept[i]
@@ -144,13 +146,13 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, keep, frame in zip(page.features(), kept, holds):
             # Frames around main text are neither.
             if keep or not frame:
-                x.append(row)
-                y.append(float(keep))
+                x.extend([row] * times)
+                y.extend([float(keep)] * times)
 
     for page in pages:
         kept = named_parts(page)
         if any(kept):
-            add(page, kept)
+            add(page, kept, GIVEN)
     for place, (main, rest) in enumerate(parted):
         other = parted[(place + 1) % len(parted)][0]
         for layout in range(LAYOUTS):
