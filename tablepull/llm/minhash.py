@@ -4,8 +4,8 @@ Two small collections of MinHash values are taken of every set; each pair of a l
 right value is the key of one table, so 2 * 8 values serve 64 tables. Documents of equal
 sets fold into one class first. In each bucket all members meet its smallest one, which
 costs a row per member; the similarity is computed on the sets themselves. Documents that are
-close to each other, linked or not, make families; where links leave a family in several
-components, those outside the largest one meet all others of the family, in blocks.
+close to each other, linked or not, make families; those that are
+not linked to the document most of a family is linked to meet all others of it, in blocks.
 """
 
 from __future__ import annotations
@@ -104,13 +104,18 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
 
 
 def _open_people(pairs: DataFrame) -> DataFrame:
-    """(id, component, family) of the families, joined by all close pairs, that links leave in several components."""
-    families, linked = components(pairs.select("a", "b")), components(pairs.where("linked").select("a", "b"))
+    """(id, component, family) of the families, joined by all close pairs, of which not all are linked to one document.
+
+    ``component`` is the smallest document that one is linked to, or itself: those of one
+    component need not be compared.
+    """
+    families = components(pairs.select("a", "b"))
+    linked = pairs.where("linked").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
     people = families.withColumnRenamed("component", "family").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
     stats = people.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     # A family of two is done: its only pair has been compared.
     out = stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
-    drop_stored(families, linked)
+    drop_stored(families)
     return out
 
 

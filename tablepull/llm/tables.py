@@ -54,30 +54,32 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b): the smallest id that can be reached.
 
     Alternating stars: in each pass every id sends its larger neighbours to its smallest
-    one, then its smaller neighbours likewise, until no edge changes. Edges fold by their
-    larger end before each shuffle; a hub of any size is only ever a minimum and a join key.
+    one, then its smaller neighbours likewise, until every id points at a root. Edges keep what they
+    connect in every pass. They fold by their larger end before a shuffle; a hub of any size
+    is only ever a minimum and a join key.
     """
     now = stored(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"
     )
-    def state(table: DataFrame) -> tuple:
-        return tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    before = state(now)
-    while True:
+    def open_ids(table: DataFrame) -> DataFrame:
+        """Ids that have two edges, or one while others point at them."""
+        ends = table.select(F.col("u").alias("id"), F.lit(1).alias("edges"), F.lit(0).alias("ends"))
+        ends = ends.union(table.select(F.col("v"), F.lit(0), F.lit(1)))
+        return ends.groupBy("id").agg(F.sum("edges").alias("edges"), F.max("ends").alias("ends")).where("edges > 1 or (edges > 0 and ends > 0)")
+
+    while not open_ids(now).isEmpty():
         # Large star: neighbours above u go to the smallest of u and its neighbours.
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.where("u != v"), "edges")
         # Small star: neighbours below u, and u, go to the smallest of them.
-        large = stored(large.where("u != v").distinct(), "edges")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         after = stored(small.where("u != v").distinct(), "edges")
         drop_stored(now, large)
-        now, last, before = after, before, state(after)
-        if before == last:
-            break
+        now = after
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     out = stored(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots), "components")
     drop_stored(now)
