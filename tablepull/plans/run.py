@@ -18,7 +18,7 @@ from tablepull.operators.keys import check_keys
 from tablepull.operators.manifest import manifest_documents, targets_of
 from tablepull.operators.sinks import write_csv, write_document
 from tablepull.session import with_session
-from tablepull.sources.scan import Resolver, scan_query, scan_table
+from tablepull.sources.scan import Resolver, scan_query, scan_table, sized
 from tablepull.spec import SpecError, TableSpec, specs_from_config
 
 STATE_KEY = "lastFetchedRow"
@@ -106,7 +106,7 @@ def run_specs(spark: SparkSession, specs: Iterable[TableSpec], resolve: Resolver
         raise SpecError("Two specs write to one output table.")
     sources = {spec: source_of(spark, spec, resolve, views or {}) for spec in enabled}
     # Described from the whole table: positions are those of the source.
-    whole = {spec: df if spec.query else resolve(spec.schema, spec.table) for spec, df in sources.items()}
+    whole = {spec: df if spec.query else sized(resolve, spec)(spec.schema, spec.table) for spec, df in sources.items()}
     for spec, df in sources.items():
         clean = sanitize_names(df.columns)
         if spec.primary_key:

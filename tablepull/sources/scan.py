@@ -31,17 +31,29 @@ def catalog_tables(spark: SparkSession) -> Resolver:
 
 
 def jdbc_tables(spark: SparkSession, options: Mapping[str, str], batch_size: int = 10_000) -> Resolver:
-    """Tables of a database, read over one connection each; see ``jdbc_options``."""
-    return lambda schema, table: (
-        spark.read.format("jdbc").options(**jdbc_options(options, schema=schema, table=table, batch_size=batch_size)).load()
-    )
+    """Tables of a database, read over one connection each; see ``jdbc_options``.
+
+    A spec's own batch size goes before ``batch_size``.
+    """
+
+    def read(schema: str, table: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**jdbc_options(options, schema=schema, table=table, batch_size=batch_size)).load()
+
+    read.with_batch_size = lambda size: jdbc_tables(spark, options, size)
+    return read
+
+
+def sized(resolve: Resolver, spec: TableSpec) -> Resolver:
+    """The resolver with the batch size of a spec, if it fetches in batches."""
+    with_size = getattr(resolve, "with_batch_size", None)
+    return with_size(spec.batch_size) if with_size else resolve
 
 
 def scan_table(resolve: Resolver, spec: TableSpec) -> DataFrame:
     """The columns a spec asks for, in its order."""
     if not spec.schema or not spec.table:
         raise SpecError("The spec names no table.")
-    return project(resolve(spec.schema, spec.table), spec.columns)
+    return project(sized(resolve, spec)(spec.schema, spec.table), spec.columns)
 
 
 def scan_query(spark: SparkSession, query: str, views: Mapping[str, DataFrame] | None = None, conf: Mapping[str, str] | None = None) -> DataFrame:

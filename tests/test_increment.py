@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tablepull import SpecError
+from tablepull import SpecError, TableSpec
 from tablepull.operators.increment import (
     bounded_increment,
     guard_progress,
@@ -16,7 +16,7 @@ from tablepull.operators.increment import (
     since,
 )
 from tablepull.operators.toplimit import limit_batch
-from tablepull.sources.scan import balanced_cuts, even_cuts, jdbc_options, scan_query, stride_counts, stride_predicates
+from tablepull.sources.scan import balanced_cuts, even_cuts, jdbc_options, scan_query, scan_table, stride_counts, stride_predicates
 
 ID, DECIMAL, TIME = "_Weir%d I-D", "someDecimal", "datetime"
 
@@ -245,6 +245,16 @@ def test_reader_options():
         jdbc_options(base)
 
 
+def test_a_spec_sets_its_batch_size(spark):
+    def tables(size):
+        read = lambda schema, table: spark.range(1).withColumn("size", F.lit(size))
+        read.with_batch_size = tables
+        return read
+
+    spec = TableSpec.from_config({"table": {"schema": "s", "tableName": "t"}, "batchSize": 500})
+    assert scan_table(tables(10_000), spec).first()["size"] == 500
+
+
 def test_query_scan_is_isolated(spark, increments):
     rows = scan_query(spark, 'SELECT "_Weir%d I-D" AS id\nFROM "my table" ;; ', {"my table": increments})
     assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3, 4, 5, 6]
