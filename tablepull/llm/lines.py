@@ -56,26 +56,26 @@ def _halves(words: Column, n: Column) -> Column:
 
 
 def _variants(words: DataFrame) -> DataFrame:
-    """(key, p, role) of all variants: 's' for a replaced word, 'd' for the line without a word, 'f' for the whole line."""
-    each = words.select("p", "n", F.posexplode("w").alias("i", "word"))
-    each = each.select("p", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
+    """(key, r, role) of all variants: 's' for a replaced word, 'd' for the line without a word, 'f' for the whole line."""
+    each = words.select("r", "n", F.posexplode("w").alias("i", "word"))
+    each = each.select("r", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
     # One sort for each line: what stands before a word keeps its place, what follows moves up.
     each = each.select(
-        "p", "n", "i",
-        F.expr("coalesce(bit_xor(here) OVER (PARTITION BY p ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)").alias("before"),
-        F.expr("bit_xor(moved) OVER (PARTITION BY p ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)").alias("gone"),
+        "r", "n", "i",
+        F.expr("coalesce(bit_xor(here) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)").alias("before"),
+        F.expr("bit_xor(moved) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)").alias("gone"),
         "here", "moved",
     )
-    whole = each.groupBy("p").agg(F.bit_xor("here").alias("all_here"), F.bit_xor("moved").alias("all_moved"), F.first("n").alias("n"))
-    without = each.join(whole.select("p", "all_moved"), "p")
-    rest = without.select("p", "n", "i", F.expr("before ^ gone ^ all_moved").alias("v"))
+    whole = each.groupBy("r").agg(F.bit_xor("here").alias("all_here"), F.bit_xor("moved").alias("all_moved"), F.first("n").alias("n"))
+    without = each.join(whole.select("r", "all_moved"), "r")
+    rest = without.select("r", "n", "i", F.expr("before ^ gone ^ all_moved").alias("v"))
     pairs = rest.select(
-        "p", F.explode(F.array(
+        "r", F.explode(F.array(
             F.struct(F.xxhash64(F.lit("s"), "n", "i", "v").alias("key"), F.lit("s").alias("role")),
             F.struct(F.xxhash64(F.lit("d"), F.col("n") - 1, "v").alias("key"), F.lit("d").alias("role")),
         )).alias("x"),
-    ).select("p", "x.key", "x.role")
-    full = whole.select("p", F.xxhash64(F.lit("d"), "n", "all_here").alias("key"), F.lit("f").alias("role"))
+    ).select("r", "x.key", "x.role")
+    full = whole.select("r", F.xxhash64(F.lit("d"), "n", "all_here").alias("key"), F.lit("f").alias("role"))
     return pairs.unionByName(full)
 
 
@@ -97,19 +97,21 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     kept = stored(keys.join(shared, "half").select("p").distinct(), "lines")
     # Lines are cut into words only now: few of them are left, or they are shuffled as text.
     left = lines.select(F.struct(*_AT).alias("p"), "l_line").join(broadcast_below(kept, kept.count(), PLACE_BYTES), "p", "left_semi")
-    words = stored(_split_lines(left.dropDuplicates(["p"]), "p"), "lines")
+    left = stored(left.dropDuplicates(["p"]), "lines")
+    # A number in the order of places stands for a line from here on.
+    words = stored(_split_lines(left.orderBy("p"), "p", "l_line").drop("l_line").withColumn("r", F.monotonically_increasing_id()), "words")
     variants = stored(_variants(words), "variants")
     # The earliest member of a bucket stands for it. Replaced words: any member; otherwise the
     # whole line for those without a word, and the earliest of these for the whole line.
     buckets = variants.groupBy("key").agg(
-        F.min(F.when(F.col("role") == "s", F.col("p"))).alias("s"), F.min(F.when(F.col("role") == "d", F.col("p"))).alias("d"),
-        F.min(F.when(F.col("role") == "f", F.col("p"))).alias("f"), F.count(F.lit(1)).alias("members"),
+        F.min(F.when(F.col("role") == "s", F.col("r"))).alias("s"), F.min(F.when(F.col("role") == "d", F.col("r"))).alias("d"),
+        F.min(F.when(F.col("role") == "f", F.col("r"))).alias("f"), F.count(F.lit(1)).alias("members"),
     ).where("members > 1")
     other = F.when(F.col("role") == "s", F.col("s")).when(F.col("role") == "d", F.col("f")).otherwise(F.col("d"))
-    pairs = variants.join(buckets, "key").select("p", other.alias("q")).where("q < p").distinct()
-    checked = pairs.join(words.select("p", F.col("w").alias("a")), "p").join(words.select(F.col("p").alias("q"), F.col("w").alias("b")), "q")
+    pairs = variants.join(buckets, "key").select("r", other.alias("q")).where("q < r").distinct()
+    checked = pairs.join(words.select("r", "p", F.col("w").alias("a")), "r").join(words.select(F.col("r").alias("q"), F.col("w").alias("b")), "q")
     near = stored(checked.where(_within_one(F.col("a"), F.col("b"))).select("p").distinct(), "near")
-    drop_stored(kept, words, variants)
+    drop_stored(kept, left, words, variants)
     return near
 
 
@@ -143,8 +145,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal in id and text are one document and lose the same lines. ``counts`` names two more columns: the
     number of lines and of removed lines. An empty table gives an empty result.
     """
-    lines = removed_lines(docs, id_col, text_col)
-    gone = broadcast_below(lines.groupBy("l_doc", "l_text").agg(F.collect_set("l_no").alias("l_gone")), lines.count(), PLACE_BYTES)
+    gone = removed_lines(docs, id_col, text_col).groupBy("l_doc", "l_text").agg(F.collect_set("l_no").alias("l_gone"))
     # The other columns travel as one struct, so that none can clash with those added here.
     rest = F.struct(F.lit(0).alias("l_rest"), *[qcol(c) for c in docs.columns if c != text_col])
     rows = docs.select(rest.alias("row"), qcol(id_col).alias("l_id"), qcol(text_col).alias("l_old"))
