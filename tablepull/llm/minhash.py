@@ -6,6 +6,10 @@ sets fold into one class first. In each bucket all members meet its smallest one
 costs a row per member; the similarity is computed on the sets themselves. Documents that are
 close to each other, linked or not, make families; those that are
 not linked to the document most of a family is linked to meet all others of it, in blocks.
+
+The smallest document of a bucket can be a stranger to the others, which may still be linked to
+each other. Of the documents that are left so, those that are linked share one of their rarest
+shingles, and all such pairs of two families are compared.
 """
 
 from __future__ import annotations
@@ -24,8 +28,7 @@ from tablepull.llm.tables import components, drop_stored, stored
 # MinHash values on each side; two sets meet in a table for each pair of values. For a similarity of
 # 0.75 a pair meets in no table with a probability of 2 * 0.25 ** 8 = 3e-5 at most.
 SIDES = 8
-# Two documents that are this similar, in percent, are of one family. Linked ones that meet in no table
-# but those led by less similar documents could be missed; a pair meets in 36 tables on average.
+# Two documents that are this similar, in percent, are of one family.
 CLOSE = 40
 # Members of a family that are compared in one task, against as many others.
 BLOCK = 512
@@ -79,13 +82,17 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 
 
 def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of at least ``CLOSE`` percent, and whether they are ``linked``."""
+    """The pairs (a, b) of at least ``CLOSE`` percent, whether they are ``linked`` and whether ``b`` is ``settled``.
+
+    By the triangle inequality all that is linked to a settled ``b`` is of at least ``CLOSE`` percent with ``a``.
+    """
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
     union = F.size("x") + F.size("y") - F.col("common")
     joint = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
     close = joint.where(100 * F.col("common") >= CLOSE * union)
-    return stored(close.select("a", "b", (100 * F.col("common") >= percent * union).alias("linked")), "pairs")
+    flags = [(100 * F.col("common") >= least * union).alias(name) for name, least in (("linked", percent), ("settled", CLOSE + 100 - percent))]
+    return stored(close.select("a", "b", *flags), "pairs")
 
 
 def _buckets(described: DataFrame) -> DataFrame:
@@ -95,28 +102,65 @@ def _buckets(described: DataFrame) -> DataFrame:
     return stored(rows.join(shared, "key"), "buckets")
 
 
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """The members of a bucket but its smallest one, which is their ``hub``."""
+    hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
+    return members.join(hubs, "key").where(F.col("hub.id") != F.col("id"))
+
+
 def _hub_pairs(members: DataFrame) -> DataFrame:
     """Every member of a bucket with its smallest one, where their sizes allow ``CLOSE`` percent."""
-    hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
-    pairs = members.join(hubs, "key").where(F.col("hub.id") != F.col("id"))
+    pairs = _with_hubs(members)
     pairs = pairs.where(100 * F.least("n", "hub.n") >= CLOSE * F.greatest("n", "hub.n"))
     return pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _open_people(pairs: DataFrame) -> DataFrame:
+def _strangers(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Ids that share a bucket with another one while its smallest member has settled neither."""
+    settled = pairs.where("settled").select(F.col("a").alias("h_id"), F.col("b").alias("id"))
+    rest = _with_hubs(members).select("key", "id", F.col("hub.id").alias("h_id")).join(settled, ["h_id", "id"], "left_anti")
+    several = rest.groupBy("key").agg(F.count(F.lit(1)).alias("rest")).where("rest > 1").select("key")
+    return stored(rest.join(several, "key", "left_semi").select("id").distinct(), "strangers")
+
+
+def _stranger_links(strangers: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links between ``strangers`` of different families, by a join on the rarest shingles of each.
+
+    In any order of all shingles, two linked sets share one among the first ``n - ceil(n * percent / 100) + 1``
+    of both. Shingles that no other stranger has come first here and meet nothing.
+    """
+    family = families.withColumnRenamed("component", "family")
+    people = sets.join(strangers, "id").join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    items = people.select("id", "family", F.size("items").alias("n"), F.explode("items").alias("x"))
+    # Within one family all is compared elsewhere.
+    shared = items.groupBy("x").agg(F.count(F.lit(1)).alias("df"), F.min("family").alias("lo"), F.max("family").alias("hi")).where("df > 1")
+    rows = items.join(shared.select("x", "df", (F.col("lo") < F.col("hi")).alias("meets")), "x")
+    ranked = rows.groupBy("id", "family", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x", "meets"))).alias("s"))
+    ranked = ranked.withColumn("alone", F.col("n") - F.size("s")).withColumn("least", F.expr(f"int((n * {percent} + 99) div 100)"))
+    first = ranked.select("id", "family", "n", "alone", F.posexplode(F.expr("slice(s, 1, greatest(n - least + 1 - alone, 0))")).alias("i", "e"))
+    first = stored(first.where("e.meets").select("e.x", "id", "family", "n", (F.col("alone") + F.col("i")).alias("at")), "prefixes")
+    a, b = (first.select("x", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "family", "n", "at")]) for side in "ab")
+    # What can still be common from the shared one on must do for a link; it is the first one of some row.
+    most = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    meet = a.join(b, "x").where((F.col("a_id") < F.col("b_id")) & (F.col("a_family") != F.col("b_family")))
+    meet = meet.where((100 + percent) * most >= percent * (F.col("a_n") + F.col("b_n")))
+    pairs = stored(meet.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met")
+    links = _compared(sets, pairs, percent)
+    drop_stored(first, pairs)
+    return links.where("linked").select("a", "b")
+
+
+def _open_people(pairs: DataFrame, families: DataFrame) -> DataFrame:
     """(id, component, family) of the families, joined by all close pairs, of which not all are linked to one document.
 
     ``component`` is the smallest document that one is linked to, or itself: those of one
     component need not be compared.
     """
-    families = components(pairs.select("a", "b"))
     linked = pairs.where("linked").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
     people = families.withColumnRenamed("component", "family").join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
     stats = people.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     # A family of two is done: its only pair has been compared.
-    out = stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
-    drop_stored(families)
-    return out
+    return stored(people.join(stats.where("lo < hi and n > 2").select("family"), "family").select("id", "component", "family"), "people")
 
 
 def _family_links(people: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -186,11 +230,14 @@ def _linked(texts: DataFrame, described: DataFrame, size: int, percent: int) ->
     rows = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     sets = stored(rows.mapInArrow(_sets(size), "id long, items array<long>"), "sets")
     pairs = _compared(sets, _hub_pairs(members), percent)
+    strangers = _strangers(members, pairs)
     drop_stored(members)
-    people = _open_people(pairs)
+    families = components(pairs.select("a", "b"))
+    people = _open_people(pairs, families)
     links = pairs.where("linked").select("a", "b")
     links = links if people.isEmpty() else links.union(_family_links(people, sets, percent))
-    drop_stored(sets, people)
+    links = links if strangers.isEmpty() else links.union(_stranger_links(strangers, families, sets, percent))
+    drop_stored(sets, people, strangers, families)
     return links
 
 

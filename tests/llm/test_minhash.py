@@ -1,6 +1,7 @@
 """Near duplicates against comparing all sets."""
 
 import random
+from itertools import combinations
 
 from llm.fixtures import docs, text, words
 
@@ -55,6 +56,18 @@ def test_family_larger_than_a_block(spark, monkeypatch):
     assert run(docs(spark, texts)) == brute(list(enumerate(texts)))
 
 
+def test_near_copies_of_passages_that_many_share(spark):
+    """Buckets are led by documents that are far from the others, of which some are near copies."""
+    texts, last = [], []
+    for g in range(4):
+        parts = [words(40, 100 * g + i) for i in range(5)]
+        both = [a + b for a, b in combinations(parts, 2)]
+        texts += [" ".join(w + words(120, 10**6 + 1000 * g + 100 * k + j)) for k, w in enumerate(both) for j in range(6)]
+        last += [" ".join(sum(order, [])) for order in (parts, parts[::-1])]
+    texts += last
+    assert run(docs(spark, texts)) == brute(list(enumerate(texts)))
+
+
 def test_chain_joins_ends_that_are_not_linked(spark):
     w = words(120)
     texts = [" ".join(w[i * 6 : i * 6 + 80]) for i in range(6)]
