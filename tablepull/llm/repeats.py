@@ -71,7 +71,7 @@ def _runs(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for top, _, data, offsets in chunks(batch.column("text"), _PIECE // 4):
                 # A very long text is taken in pieces that overlap by a window less one byte.
-                step = len(data) if len(offsets) > 2 else _PIECE
+                step = max(len(data), 1) if len(offsets) > 2 else _PIECE
                 for base in range(0, max(len(data) - length + 1, 1), step):
                     piece = data[base : base + step + length - 1]
                     ends = offsets if len(offsets) > 2 else np.array([0, len(piece)])

@@ -67,6 +67,15 @@ def test_awkward_rows(spark):
     assert run(docs(spark, []).limit(0)) == []
 
 
+def test_empty_texts_alone_in_a_chunk(spark):
+    assert dict(run(docs(spark, ["", None, "", ""]).coalesce(1))) == {i: (0, 0, 0, b"") for i in range(4)}
+    texts = ["".join(map(str, range(250_000))), "", "", None]
+    n = len(texts[0])
+    assert n > 1 << 20
+    got = dict(run(docs(spark, texts).coalesce(1)))
+    assert got[0][0] == n and [got[i] for i in (1, 2, 3)] == [(0, 0, 0, b"")] * 3
+
+
 def test_refined_pointers_tell_windows_apart():
     draw = np.random.default_rng(1)
     data = draw.integers(0, 2, 4000, dtype=np.uint8)
