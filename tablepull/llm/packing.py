@@ -15,10 +15,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablepull.llm.tables import repeated
+from tablepull.functions.names import qcol
+from tablepull.llm.minhash import near_duplicates
+from tablepull.llm.tables import broadcast_below, repeated, stored
 
 # Documents that are packed together. Shards are dealt by hash, so they differ little in size.
 SHARD_ROWS = 8192
+# Bytes of a cluster's row in a table that is copied to all executors, at most.
+CLUSTER_BYTES = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -31,6 +35,18 @@ def duplicate_cluster(text: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))))
 
 
+def near_clusters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(cluster, near) of each ``duplicate_cluster`` that is a near copy of another: near copies have equal ``near``.
+
+    See ``near_duplicates``; letter case is folded as for ``duplicate_cluster``. Texts are nodes here, not
+    documents, so ids that are null or shared do not matter.
+    """
+    text = qcol(text_col)
+    texts = docs.select(duplicate_cluster(text).alias("cluster"), F.lower(text).alias("text"))
+    near = near_duplicates(texts, "cluster").where("component_id != cluster")
+    return stored(near.select("cluster", F.col("component_id").alias("near")).distinct(), "clusters")
+
+
 def _bits(values: list) -> list[int]:
     """A bit for each value that occurs twice or more, none for others and for null."""
     seen, places = {}, {}
@@ -75,11 +91,12 @@ def pack(lengths: list[int], sources: list, clusters: list, capacity: int) -> li
     return placed
 
 
-def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", clusters: DataFrame | None = None) -> DataFrame:
     """(id, piece, start, n_tokens, bin_id, bin_offset): where each piece of each document goes.
 
     Lengths are counted in words between ASCII white space. No bin holds two documents of one
-    source or of one duplicate cluster; a null source conflicts with none. Documents without
+    source or of one duplicate cluster; a null source conflicts with none. ``clusters`` of
+    ``near_clusters`` makes near copies one cluster, otherwise only copies are. Documents without
     words come back once with length 0 and a null bin. Repeated rows are packed as often as
     they occur, into different bins; equal lengths go by id, nulls first. An empty table gives
     an empty result; other columns are not read.
@@ -90,6 +107,11 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id"
         word_count(F.col(text_col)).alias("n"), duplicate_cluster(F.col(text_col)).alias("cluster"),
     )
     rows = rows.groupBy("id", "source", "n", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    if clusters is None:
+        rows = rows.withColumn("near", F.col("cluster"))
+    else:
+        found = broadcast_below(clusters, clusters.count(), CLUSTER_BYTES)
+        rows = rows.join(found, "cluster", "left").withColumn("near", F.coalesce("near", "cluster"))
     total = docs.select(F.count(F.lit(1))).first()[0]
     shards = max(1, -(-total // SHARD_ROWS))
     rows = repeated(rows, "copies", "copy")
@@ -99,7 +121,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id"
         order = pc.sort_indices(table, [(c, "ascending") for c in ("id", "n", "cluster", "copy")], null_placement="at_start")
         table = table.take(order)
         shard, lengths = table["shard"][0].as_py(), table["n"].to_pylist()
-        placed = pack(lengths, table["source"].to_pylist(), table["cluster"].to_pylist(), capacity)
+        placed = pack(lengths, table["source"].to_pylist(), table["near"].to_pylist(), capacity)
         placed = [(row, piece, start, n, (shard << 32) + number, offset) for row, piece, start, n, number, offset in placed]
         placed += [(row, 0, 0, 0, None, None) for row, n in enumerate(lengths) if n == 0]
         row, *rest = zip(*placed)

@@ -12,7 +12,7 @@ from tablepull.llm.extraction import extract_text
 from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.neighbours import nearest
-from tablepull.llm.packing import pack_documents
+from tablepull.llm.packing import near_clusters, pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
 from tablepull.llm.repeats import remove_repeats
 from tablepull.llm.token_files import read_token_documents, write_token_files
@@ -29,7 +29,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return pack_documents(docs, clusters=near_clusters(docs))
 
 
 # Texts with a lower score are rejected.

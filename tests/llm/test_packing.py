@@ -7,6 +7,7 @@ from llm.fixtures import DOC_SCHEMA, docs
 from pyspark.sql import functions as F
 
 from tablepull.llm import packing
+from tablepull.llm.queries import QUERIES
 
 
 def plain(lengths, sources, clusters, capacity):
@@ -75,3 +76,14 @@ def test_awkward_rows(spark):
     assert packing.pack_documents(frame.limit(0)).count() == 0
     big = spark.createDataFrame([(2**60 + 1, "a", "en", "s", 1), (None, "b", "en", "s", 1)], DOC_SCHEMA)
     assert {r["doc_id"] for r in packing.pack_documents(big).collect()} == {2**60 + 1, None}
+
+
+def test_near_copies_share_no_bin(spark, tmp_path):
+    """Op 6 on near copies from different sources, one of them without an id."""
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:at] + ["other"] + base[at + 1 :]).title() for at in (0, 1, 58, 59)] + ["x y z", "X  y z"]
+    rows = [(i if i else None, t, "en", f"s{i}", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    bins = {r["doc_id"]: r["bin_id"] for r in QUERIES["op6_best_fit_packing"](spark, str(tmp_path)).collect()}
+    assert set(bins) == {None, 1, 2, 3, 4, 5}
+    assert len({bins[i] for i in (None, 1, 2, 3)}) == 4 and bins[4] != bins[5]
