@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepull.llm.clusters import clustered
 from tablepull.llm.decontaminate import contaminated
 from tablepull.llm.extraction import extract_text
 from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
+from tablepull.llm.negatives import hard_negatives
 from tablepull.llm.neighbours import nearest
 from tablepull.llm.packing import near_clusters, pack_documents
 from tablepull.llm.quality import held_out, score_quality, train_quality
@@ -88,6 +90,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_documents(spark, path)
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are moved by one where the id is divisible by 7, so that labels and nearness disagree in places."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -99,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_html_extraction": op9_html_extraction,
     "op10_token_files": op10_token_files,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # Every line of three words or more against all earlier ones: equal, or from eight words on one
@@ -164,8 +178,53 @@ ruled AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.action, 'allow') AS verdict FROM ruled
 """
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+
+
+def _op11(rounds: int = 5, k: int = 40) -> str:
+    """Rounds one after the other: components as rows, distances by (vector, centroid), exact sums."""
+    parts = [
+        f"""x AS MATERIALIZED (
+  SELECT vec_id, unnest(range(64)) AS i, unnest(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM (SELECT DISTINCT vec_id FROM x) QUALIFY c < {k}),
+c0 AS MATERIALIZED (SELECT c, i, x FROM x JOIN seeds USING (vec_id))"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""d{r} AS (SELECT vec_id, c, sum((x.x - c{r}.x) * (x.x - c{r}.x))::BIGINT AS d FROM x JOIN c{r} USING (i) GROUP BY ALL),
+a{r} AS MATERIALIZED (SELECT vec_id, min((d, c)) AS best FROM d{r} GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (SELECT a.best[2] AS c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{r} a JOIN x USING (vec_id) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, c{r}.i, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x FROM c{r} LEFT JOIN m{r} m ON m.c = c{r}.c AND m.i = c{r}.i)""")
+    last = f"a{rounds}"
+    return f"""
+WITH {", ".join(parts)},
+digests AS (SELECT c, sha256(string_agg(x, ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY c)
+SELECT vec_id, best[2]::INT AS cluster, best[1] AS distance, sum(best[1]) OVER (PARTITION BY best[2])::BIGINT AS cluster_inertia,
+  sum(best[1]) OVER ()::BIGINT AS inertia, sha AS centroid_sha256
+FROM {last} JOIN digests ON c = best[2]
+"""
+
+
+# All scores of each anchor.
+_OP13 = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND {_FINITE}),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _OP1,
     "op4_minhash_dedup": _OP4,
     "op8_url_filter": _OP8,
+    "op11_centroid_clusters": _op11(),
+    "op13_hard_negatives": _OP13,
 }
