@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tablepull.llm.clusters import clustered
 from tablepull.llm.decontaminate import contaminated
 from tablepull.llm.extraction import extract_text
+from tablepull.llm.license_rules import MAX_WORDS, RULES, STEMS
+from tablepull.llm.licenses import PHRASE_WEIGHT, scan_licenses
 from tablepull.llm.lines import dedup_lines
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.negatives import hard_negatives
@@ -94,6 +96,14 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(_table(spark, sf_dir, "embeddings"))
 
 
+LICENSE_PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"), LICENSE_PHRASES)
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels are moved by one where the id is divisible by 7, so that labels and nearness disagree in places."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -112,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_token_files": op10_token_files,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_license_scan": op12_license_scan,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -206,6 +217,44 @@ FROM {last} JOIN digests ON c = best[2]
 """
 
 
+def _op12() -> str:
+    """Every rule at every word of the texts that hold its keyword; nested detections settled by rank."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    rules = ",\n".join(f"({i}, {quoted(r.label)}, {quoted(r.keyword)}, {quoted(f'^({r.pattern}) ')}, {r.priority}, {r.weight})" for i, r in enumerate(RULES))
+    phrases = ", ".join(f"({quoted(p)}, {quoted(label)})" for p, label in LICENSE_PHRASES)
+    stems = " OR ".join(f"contains(norm, {quoted(s)})" for s in STEMS)
+    return f"""
+WITH rules(place, label, keyword, pattern, priority, weight) AS (VALUES {rules}),
+phrases(phrase, label) AS (VALUES {phrases}),
+listed AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS norm FROM listed),
+spots AS MATERIALIZED (
+  SELECT r, i, array_to_string(w[i + 1:i + {MAX_WORDS}], ' ') || ' ' AS here
+  FROM (SELECT r, w, unnest(range(len(w))) AS i FROM texts WHERE {stems})),
+base AS (
+  SELECT r, i, label FROM (SELECT r, w, unnest(range(len(w))) AS i FROM texts), phrases
+  WHERE array_to_string(w[i + 1:i + len(string_split(phrase, ' '))], ' ') = phrase),
+tried AS MATERIALIZED (
+  SELECT r, place, rules.label, pattern, priority, weight
+  FROM texts JOIN rules ON contains(norm, keyword)),
+hits AS MATERIALIZED (
+  SELECT r, place, label, priority, weight, i, len(string_split(regexp_extract(here, pattern, 1), ' ')) AS n
+  FROM tried JOIN spots USING (r) WHERE regexp_matches(here, pattern)),
+kept AS (
+  SELECT * FROM hits h WHERE NOT EXISTS (
+    SELECT 1 FROM hits o WHERE o.r = h.r AND ((h.i >= o.i AND h.i + h.n <= o.i + o.n) OR (h.i <= o.i AND h.i + h.n >= o.i + o.n))
+      AND (h.priority, h.n, -h.place) < (o.priority, o.n, -o.place))),
+said AS (SELECT r, label, {PHRASE_WEIGHT} AS weight FROM base UNION ALL SELECT r, label, weight FROM kept),
+named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(weight)::DOUBLE AS score FROM said GROUP BY r),
+placed AS (SELECT r, count(*) AS n, min(i) AS first, max(i) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first::BIGINT AS first_word, last::BIGINT AS last_word,
+  coalesce(p.labels, '') AS base_labels, coalesce(m.labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM texts t LEFT JOIN named m ON m.r = t.r LEFT JOIN placed p ON p.r = t.r
+"""
+
+
 # All scores of each anchor.
 _OP13 = f"""
 WITH e AS (
@@ -226,5 +275,6 @@ ORACLE: dict[str, str] = {
     "op4_minhash_dedup": _OP4,
     "op8_url_filter": _OP8,
     "op11_centroid_clusters": _op11(),
+    "op12_license_scan": _op12(),
     "op13_hard_negatives": _OP13,
 }
