@@ -90,7 +90,7 @@ def load(spark: SparkSession, batch: DataFrame, path: str, mode: str, keys: Sequ
             raise SpecError("The partition columns of an upsert must belong to its key.")
     target = _stored(spark, path, batch, partition_by) if path_exists(spark, path) else None
     if target is not None:
-        batch = _aligned(batch, target)
+        batch = aligned(batch, target)
     if mode == "append":
         _write(batch, "append", path, partition_by)
         return
@@ -132,7 +132,7 @@ def _stored(spark: SparkSession, path: str, batch: DataFrame, partition_by: Sequ
     return spark.read.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in own.fields])).parquet(path)
 
 
-def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
+def aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     """The batch in the target's column order; refused if columns are missing, new, or of another type."""
     mine = {f.name: f.dataType for f in batch.schema.fields}
     stored = {f.name: f.dataType for f in target.schema.fields}

@@ -22,6 +22,7 @@ from tablepull.operators.increment import (
 from tablepull.operators.keys import first_per_key, key_violations
 from tablepull.operators.load import appended, load, load_spec, replaced, upserted
 from tablepull.operators.manifest import manifest_documents, manifest_entries, typed_columns
+from tablepull.operators.pruned import read_target, upsert_pruned
 from tablepull.operators.profile import APPROX_ERROR, column_profile, column_profile_approx
 from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
 from tablepull.operators.toplimit import limit_batch
@@ -32,6 +33,7 @@ from tablepull.session import remove_path, shared_dir, with_session
 from tablepull.sources.scan import even_cuts, parquet_tables, scan_query, scan_table, stride_counts
 from tablepull.spec import TableSpec
 from tablepull.streaming.ingest import ingest_new, ingested
+from tablepull.streaming.upsert import upsert_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -380,6 +382,20 @@ def load_upsert_partitioned(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def load_upsert_pruned(spark, sf_dir):
+    """The last fifth of the keys is pulled again, twice, with changed prices; the files of the others are left alone."""
+    orders = table(spark, sf_dir, "orders")
+    rows, high = orders.agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
+    base = orders.filter(F.col("o_orderkey") * 10 < 9 * high)
+    pull = orders.filter(F.col("o_orderkey") * 10 >= 8 * high)
+    batch = pull.withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(pull.withColumn("o_totalprice", F.col("o_totalprice") + 2))
+    path, size = shared_dir(spark, "pruned"), min(1_000_000, rows // 8)
+    upsert_pruned(spark, base, path, ["o_orderkey"], rows_per_file=size)
+    upsert_pruned(spark, batch, path, ["o_orderkey"], [F.col("o_totalprice").desc()], rows_per_file=size)
+    return read_target(spark, path)
+
+
 @query
 def key_violations_(spark, sf_dir):
     return key_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -508,6 +524,22 @@ def stream_ingest(spark, sf_dir):
     return ingested(spark, f"{base}/out", events.schema)
 
 
+@query
+def stream_upsert(spark, sf_dir):
+    """Three deliveries that overlap; each re-sends ids with another value, the last one all its rows twice."""
+    base, events = shared_dir(spark, "stream-upsert"), table(spark, sf_dir, "events")
+    day = lambda d: F.lit(f"2024-01-{d} 00:00:00").cast("timestamp_ntz")
+    deliveries = (("01", "13", 0), ("09", "22", 1), ("18", "31", 2))
+    for low, high, plus in deliveries:
+        part = events.filter((F.col("ts") >= day(low)) & (F.col("ts") < day(high)))
+        sent = part.withColumn("value", F.col("value") + plus)
+        if plus == 2:
+            sent = sent.unionByName(part.withColumn("value", F.col("value") - 1))
+        sent.write.mode("append").parquet(f"{base}/in")
+        upsert_new(spark, f"{base}/in", events.schema, f"{base}/checkpoint", f"{base}/target", ["event_id"], [F.col("value").desc()])
+    return read_target(spark, f"{base}/target")
+
+
 # Queries as users write them
 
 

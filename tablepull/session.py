@@ -25,6 +25,9 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# The folder for intermediate results of each application that names none.
+_LOCAL_DIRS: dict[str, str] = {}
+
 # Below this size a join side may be copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -66,8 +69,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-        base = tempfile.mkdtemp(prefix="tablepull-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        base = _LOCAL_DIRS.get(application) or tempfile.mkdtemp(prefix="tablepull-")
+        _LOCAL_DIRS[application] = base
     return f"{base.rstrip('/')}/tablepull-{purpose}-{uuid.uuid4().hex}"
 
 
@@ -82,6 +86,13 @@ def rename_path(spark: SparkSession, old: str, new: str) -> None:
         raise RuntimeError(f"{old} could not be renamed to {new}.")
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
