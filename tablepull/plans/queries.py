@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablepull.functions.names import project, sanitize_columns
 from tablepull.functions.render import render_bool, render_text
+from tablepull.operators.asof import asof_join
 from tablepull.operators.catalog import first_column, list_columns, list_tables, nest_columns, pk_flags, with_defaults
 from tablepull.operators.increment import (
     bounded_increment,
@@ -22,6 +23,7 @@ from tablepull.operators.increment import (
 from tablepull.operators.keys import first_per_key, key_violations
 from tablepull.operators.load import appended, load, load_spec, replaced, upserted
 from tablepull.operators.manifest import manifest_documents, manifest_entries, typed_columns
+from tablepull.operators.overlap import overlap_join
 from tablepull.operators.pruned import read_target, upsert_pruned
 from tablepull.operators.profile import APPROX_ERROR, column_profile, column_profile_approx
 from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
@@ -407,6 +409,32 @@ def first_per_key_events(spark, sf_dir):
     return first_per_key(table(spark, sf_dir, "events"), ["event_type"], latest)
 
 
+# Joins in time
+
+
+@query
+def asof_join_events(spark, sf_dir):
+    """Each event with the last earlier event of another type of its user."""
+    events = table(spark, sf_dir, "events")
+    types = F.array(*[F.lit(row[0]) for row in events.select("event_type").distinct().collect()])
+    others = events.select("user_id", F.explode(F.array_remove(types, F.col("event_type"))).alias("event_type"), "ts", "event_id", "value")
+    brought = {"event_id": "last_id", "ts": "last_ts", "value": "last_value"}
+    rows = max(1_000, events.count() // 8)
+    return asof_join(events.drop("props"), others, ["user_id", "event_type"], "ts", "ts", brought, strict=True, part_rows=min(1_000_000, rows))
+
+
+@query
+def overlap_join_(spark, sf_dir):
+    """Errors and views of a user as intervals of one second to the whole table; pairs that share a moment."""
+    events = table(spark, sf_dir, "events")
+    sides = []
+    for kind in ("error", "view"):
+        seconds = F.expr("make_dt_interval(0, 0, 0, cast(shiftleft(1L, cast(event_id % 22 as int)) as decimal(18, 6)))")
+        sides.append(events.filter(F.col("event_type") == kind).select("user_id", "event_id", F.col("ts").alias("since"), (F.col("ts") + seconds).alias("until")))
+    names = [{"user_id": "user_id", "event_id": "error_id"}, {"event_id": "view_id"}]
+    return overlap_join(*sides, ["user_id"], ("since", "until"), ("since", "until"), *names)
+
+
 # Catalogue and manifests
 
 
