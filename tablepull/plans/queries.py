@@ -21,6 +21,7 @@ from tablepull.operators.increment import (
     since,
 )
 from tablepull.operators.keys import first_per_key, key_violations
+from tablepull.operators.late import late_increment
 from tablepull.operators.load import appended, load, load_spec, replaced, upserted
 from tablepull.operators.manifest import manifest_documents, manifest_entries, typed_columns
 from tablepull.operators.overlap import overlap_join
@@ -185,6 +186,23 @@ def increment_health_(spark, sf_dir):
     return increment_health(table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
+# When an event arrives: one in ten comes a day and a half late.
+ARRIVAL = "ts + CASE WHEN event_id % 10 = 3 THEN INTERVAL '36' HOUR ELSE INTERVAL '0' HOUR END"
+RUNS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-03-01 00:00:00")
+
+
+@query
+def late_increment_(spark, sf_dir):
+    """Three runs over a table that grows, in which rows appear below marks already passed; which run brought which row."""
+    path, events, brought = shared_dir(spark, "late-state"), table(spark, sf_dir, "events"), []
+    for number, until in enumerate(RUNS, 1):
+        there = events.filter(F.expr(ARRIVAL) < F.lit(until).cast("timestamp_ntz"))
+        run = late_increment(there, "ts", ["event_id"], path, "2 days")
+        run.commit()
+        brought.append(run.batch.select("event_id", "ts", F.lit(number).alias("run")))
+    return brought[0].unionByName(brought[1]).unionByName(brought[2])
+
+
 # Text, CSV
 
 
