@@ -22,76 +22,92 @@ COPIES_PER_ROW = 10_000
 def limit_batch(df: DataFrame, column: str, n: int, tie_break: tuple[str, ...] = (), heap_rows: int = HEAP_ROWS) -> DataFrame:
     """The first ``n`` rows ordered by ``column`` (NULLs last), ``tie_break`` (NULLs last), a hash of the row, then all columns.
 
-    At every ``n`` the key of the last row is located and the batch is a filter: the same
-    rows on every run and in every layout, in the order in which the source gives them.
-    ``heap_rows`` only says how the key is located.
+    The n-th value of the first column is located by reading that column alone; the rows below it are a
+    filter that reaches the scan, and only rows equal to it are told apart by the next column, and so on, the hash
+    last. The same rows come at every ``n``, on every run and in every layout, in the order in which the source gives them.
+    ``heap_rows`` only says how a value is located: up to it by sorting, beyond by counting.
     """
     if n <= 0:
         return df.limit(0)
-    key = _key(df, [column, *tie_break])
-    cut = _nth(df, key, n, heap_rows)
-    if cut is None:
-        return df
-    # The first column's bound once more by itself: this part of the filter reaches the scan.
-    df = df.filter(_reach(df, column, cut.first))
-    if cut.rows_below + cut.rows_equal == n:
-        return df.filter(cut.below | cut.equal)
-    return df.filter(cut.below).unionByName(_some(df.filter(cut.equal), n - cut.rows_below))
+    return _first(df, [column, *tie_break], n, heap_rows)
 
 
-def _key(df: DataFrame, order: list[str]) -> Column:
-    """One value for the place of a row: (is NULL, value) of each column, and the row's hash."""
-    parts = dict(zip(df.columns, comparable(df)))
-    fields = []
-    for i, name in enumerate(order):
-        kind = next(f.dataType for f in df.schema.fields if f.name == name)
-        value = F.to_json(qcol(name)) if isinstance(kind, (T.ArrayType, T.StructType)) else parts[name]
-        fields += [qcol(name).isNull().alias(f"n{i}"), value.alias(f"v{i}")]
-    return F.struct(*fields, row_hash(df).alias("hash"))
+def _first(df: DataFrame, order: list[str], n: int, heap_rows: int) -> DataFrame:
+    value = _value(df, order[0]) if order else row_hash(df)
+    values = df.select(value.alias("k"))
+    kind = values.schema["k"].dataType
+    cut = _next(values, kind, n) if n <= heap_rows else _nth(values, kind, n, heap_rows)
+    if cut is None:
+        return df
+    if cut.value is None:
+        below, equal = df.filter(value.isNotNull()), df.filter(value.isNull())
+    else:
+        last = _from_text(cut.value, kind)
+        below, equal = df.filter(value < last), df.filter(value == last)
+    rest = n - cut.rows_below
+    if rest == 0:
+        return below
+    if rest == cut.rows_equal:
+        return df.filter(value <= last)
+    return below.unionByName(_first(equal, order[1:], rest, heap_rows) if order else _some(equal, rest))
 
 
-def _reach(df: DataFrame, column: str, text: str | None) -> Column:
-    if text is None:
-        return F.lit(True)
-    kind = next(f.dataType for f in df.schema.fields if f.name == column)
-    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
-        return F.lit(True)
-    return qcol(column) <= _from_text(text, kind)
+def _value(df: DataFrame, name: str) -> Column:
+    """A column in a form that can be compared with a literal: nested ones as JSON."""
+    kind = next(f.dataType for f in df.schema.fields if f.name == name)
+    return F.to_json(qcol(name)) if isinstance(kind, (T.ArrayType, T.StructType)) else dict(zip(df.columns, comparable(df)))[name]
 
 
 @dataclass(frozen=True)
 class _Cut:
-    below: Column
-    equal: Column
+    """A value (None: NULL), the rows below it, and those equal to it where they are known."""
+
+    value: str | None
     rows_below: int
-    rows_equal: int
-    first: str | None
+    rows_equal: int | None
+
 
+def _next(values: DataFrame, kind: T.DataType, n: int) -> _Cut | None:
+    """The value after the n-th one: if that is another one, the rows below it are the first n. None if there are no more than n rows.
 
-def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
-    """Where the n-th smallest key lies; None if there are no more than n rows.
+    One job: the first n + 1 values, of which only the last one and its number are returned.
+    """
+    k = F.col("k")
+    counts = values.orderBy(k.asc_nulls_last()).limit(n + 1).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    nulls = F.coalesce(F.sum(F.when(k.isNull(), F.col("n"))), F.lit(0))
+    found = counts.agg(F.sum("n").alias("rows"), nulls.alias("nulls"), _to_text(F.max("k"), kind).alias("last"), F.max_by("n", "k").alias("ties")).first()
+    if (found["rows"] or 0) <= n:
+        return None
+    if found["nulls"]:
+        return _Cut(None, found["rows"] - found["nulls"], None)
+    return _Cut(found["last"], found["rows"] - found["ties"], None)
 
-    Each pass counts the rows between some sampled keys and goes on between two of
-    them. A sampled key is counted by itself, so a key that many rows share is
+
+def _nth(values: DataFrame, kind: T.DataType, n: int, heap_rows: int) -> _Cut | None:
+    """The n-th value in order, with the rows below it and equal to it; None if there are no more than n rows.
+
+    Each pass counts the rows between some sampled values and goes on between two of
+    them. A sampled value is counted by itself, so one that many rows share is
     found at once and the open interval always shrinks.
     """
-    keys = df.select(key.alias("k"))
-    kind, k = keys.schema["k"].dataType, F.col("k")
-    total = keys.count()
+    known, total = values.agg(F.count("k"), F.count(F.lit(1))).first()
     if n >= total:
         return None
-
-    window, before, size = keys, 0, total
+    if n >= known:
+        return _Cut(None, known, total - known)
+    values, total = values.filter("k is not null"), known
+    k = F.col("k")
+    window, before, size = values, 0, total
     while True:
         rank = n - before
         if rank <= heap_rows:
-            texts = window.orderBy(k).limit(rank).agg(_texts(F.max("k"), kind)).first()[0]
+            text = window.orderBy(k).limit(rank).agg(_to_text(F.max("k"), kind)).first()[0]
             break
         if size - rank < heap_rows:
-            texts = window.orderBy(k.desc()).limit(size - rank + 1).agg(_texts(F.min("k"), kind)).first()[0]
+            text = window.orderBy(k.desc()).limit(size - rank + 1).agg(_to_text(F.min("k"), kind)).first()[0]
             break
         found = _splitters(window, size, kind)
-        splitters = [_literal(item, kind) for item in found]
+        splitters = [_from_text(item, kind) for item in found]
         slots = window.groupBy(_slot(k, splitters, 0, len(splitters)).alias("slot")).count()
         counts = {row["slot"]: row["count"] for row in slots.collect()}
         chosen = 0
@@ -102,16 +118,16 @@ def _nth(df: DataFrame, key: Column, n: int, heap_rows: int) -> _Cut | None:
                 raise SpecError("The table lost rows while the batch was being located; run it again.")
         i, exact = divmod(chosen, 2)
         if exact:
-            return _Cut(key < splitters[i], key == splitters[i], before, counts[chosen], found[i][1])
+            return _Cut(found[i], before, counts[chosen])
         if i > 0:
             window = window.filter(k > splitters[i - 1])
         if i < len(splitters):
             window = window.filter(k < splitters[i])
         size = counts[chosen]
 
-    value = _literal(texts, kind)
+    value = _from_text(text, kind)
     below, equal = window.agg(F.count_if(k < value), F.count_if(k == value)).first()
-    return _Cut(key < value, key == value, before + below, equal, texts[1])
+    return _Cut(text, before + below, equal)
 
 
 def _slot(k: Column, splitters: list[Column], first: int, last: int) -> Column:
@@ -126,26 +142,17 @@ def _slot(k: Column, splitters: list[Column], first: int, last: int) -> Column:
     )
 
 
-def _splitters(window: DataFrame, size: int, kind: T.StructType) -> list[list[str | None]]:
-    """Up to 64 keys spread over the window. They steer the search; the counts decide."""
+def _splitters(window: DataFrame, size: int, kind: T.DataType) -> list[str]:
+    """Up to 64 values spread over the window. They steer the search; the counts decide."""
     fraction = min(1.0, SAMPLES / size)
     sample = window.sample(fraction=fraction, seed=size % 1_000_003) if fraction < 1 else window
     drawn = sample.agg(F.sort_array(F.collect_list("k")).alias("ks")).select("ks", F.size("ks").alias("n"))
     step = F.greatest(F.floor(F.col("n") / SPLITTERS), F.lit(1)).cast("int")
     spread = F.filter("ks", lambda _, i: i % step == F.floor(step / 2)).alias("ks")
-    row = drawn.select(F.transform(spread, lambda k: _texts(k, kind)).alias("texts")).first()
+    row = drawn.select(F.transform(spread, lambda k: _to_text(k, kind)).alias("texts")).first()
     if row["texts"]:
-        return [list(item) for item in dict.fromkeys(tuple(item) for item in row["texts"])]
-    return [list(window.select(_texts(F.col("k"), kind)).first()[0])]
-
-
-def _texts(key: Column, kind: T.StructType) -> Column:
-    return F.array(*[_to_text(key.getField(f.name), f.dataType) for f in kind.fields])
-
-
-def _literal(texts: list[str | None], kind: T.StructType) -> Column:
-    values = [F.lit(None).cast(f.dataType) if t is None else _from_text(t, f.dataType) for t, f in zip(texts, kind.fields)]
-    return F.struct(*[value.alias(f.name) for value, f in zip(values, kind.fields)])
+        return list(dict.fromkeys(row["texts"]))
+    return [window.select(_to_text(F.col("k"), kind)).first()[0]]
 
 
 def _to_text(column: Column, data_type: T.DataType) -> Column:
