@@ -36,7 +36,9 @@ from tablepull.session import remove_path, shared_dir, with_session
 from tablepull.sources.scan import even_cuts, parquet_tables, scan_query, scan_table, stride_counts
 from tablepull.spec import TableSpec
 from tablepull.streaming.ingest import ingest_new, ingested
+from tablepull.streaming.sessions import closed_sessions, open_sessions, session_new
 from tablepull.streaming.upsert import upsert_new
+from tablepull.streaming.windows import closed_windows, late_rows, open_windows, window_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,6 +588,44 @@ def stream_upsert(spark, sf_dir):
     return read_target(spark, f"{base}/target")
 
 
+def _deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events as they arrive, in three deliveries."""
+    events, since = table(spark, sf_dir, "events"), [None, *RUNS[:-1]]
+    at = [None if t is None else F.lit(t).cast("timestamp_ntz") for t in (*since, None)]
+    out = []
+    for low, high in zip(at, at[1:]):
+        part = events if low is None else events.filter(F.expr(ARRIVAL) >= low)
+        out.append(part if high is None else part.filter(F.expr(ARRIVAL) < high))
+    return out
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """Events by type and six hours, of three deliveries with late rows: rows in windows, closed or open, and rows too late for theirs."""
+    base, keys = shared_dir(spark, "stream-windows"), ["event_type"]
+    schema = table(spark, sf_dir, "events").schema
+    for delivery in _deliveries(spark, sf_dir):
+        delivery.write.mode("append").parquet(f"{base}/in")
+        window_new(spark, f"{base}/in", schema, base, "ts", keys, "value", "6 hours", "12 hours")
+    counted = closed_windows(spark, base, schema, keys, "value").unionByName(open_windows(spark, base, keys))
+    late = late_rows(spark, base, schema).groupBy(F.window("ts", "6 hours").getField("start").cast("timestamp").alias("window_start"), "event_type")
+    late = late.agg(F.count(F.lit(1)).alias("n_late"))
+    both = counted.join(late, ["window_start", "event_type"], "full").fillna(0, ["n", "n_late"])
+    return both.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    """Sessions of a user and type with gaps below a day, of three deliveries with rows out of order: those that are over and those still open."""
+    base, keys = shared_dir(spark, "stream-sessions"), ["user_id", "event_type"]
+    schema = table(spark, sf_dir, "events").schema
+    for delivery in _deliveries(spark, sf_dir):
+        delivery.write.mode("append").parquet(f"{base}/in")
+        session_new(spark, f"{base}/in", schema, base, keys, "ts", 24 * 3600, "2 days")
+    both = closed_sessions(spark, base, schema, keys).unionByName(open_sessions(spark, base, keys))
+    return both.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("session_start", "session_end")})
+
+
 # Queries as users write them
 
 
