@@ -28,6 +28,7 @@ from tablepull.operators.overlap import overlap_join
 from tablepull.operators.pruned import read_target, upsert_pruned
 from tablepull.operators.profile import APPROX_ERROR, column_profile, column_profile_approx
 from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
+from tablepull.operators.snapshots import leaf_bits, snapshot_diff, write_digests
 from tablepull.operators.toplimit import limit_batch
 from tablepull.plans.acceptance import ACCEPTANCE, VIEWS
 from tablepull.plans.estate import estate, estate_targets
@@ -418,6 +419,23 @@ def load_upsert_pruned(spark, sf_dir):
     return read_target(spark, path)
 
 
+@query
+def snapshot_diff_(spark, sf_dir):
+    """Two versions of the orders: a fiftieth of the keys deleted, another one changed, some added beyond the last."""
+    orders = table(spark, sf_dir, "orders")
+    high = orders.agg(F.max("o_orderkey")).first()[0]
+    share = lambda low, top: (F.col("o_orderkey") * 50 >= low * high) & (F.col("o_orderkey") * 50 < top * high)
+    changed = orders.filter(~share(20, 21)).withColumn("o_totalprice", F.col("o_totalprice") + F.when(share(30, 31), 1).otherwise(0))
+    added = orders.filter(share(0, 1)).withColumn("o_orderkey", F.col("o_orderkey") + high + 1)
+    base, keys = shared_dir(spark, "snapshots"), ["o_orderkey"]
+    bits = leaf_bits(orders, keys, 1_000)
+    for name, version in (("1", orders), ("2", changed.unionByName(added))):
+        version.write.parquet(f"{base}/{name}")
+        write_digests(spark.read.parquet(f"{base}/{name}"), keys, f"{base}/digests-{name}", bits)
+    old, new = (spark.read.parquet(f"{base}/{name}") for name in "12")
+    return snapshot_diff(old, new, keys, f"{base}/digests-1", f"{base}/digests-2", bits)
+
+
 @query
 def key_violations_(spark, sf_dir):
     return key_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
