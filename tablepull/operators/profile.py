@@ -26,7 +26,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionAll, [_profile(df, field) for field in df.schema.fields])
 
 
-def _measured(field: T.StructField) -> tuple[Column, T.DataType]:
+def measured(field: T.StructField) -> tuple[Column, T.DataType]:
     """A column and its type; arrays, maps and structs count as their JSON text."""
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(qcol(field.name)), T.StringType()
@@ -34,7 +34,7 @@ def _measured(field: T.StructField) -> tuple[Column, T.DataType]:
 
 
 def _profile(df: DataFrame, field: T.StructField) -> DataFrame:
-    column, data_type = _measured(field)
+    column, data_type = measured(field)
     if isinstance(data_type, T.StringType):
         counted = _counts(df, F.sha2(column, 256), extremes=False)
         scanned = df.agg(
@@ -70,7 +70,7 @@ def column_profile_approx(df: DataFrame, error: float = APPROX_ERROR) -> DataFra
     """The same facts in one pass without a shuffle of values; distinct counts within ``error``."""
     measures = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema.fields):
-        column, data_type = _measured(field)
+        column, data_type = measured(field)
         text = isinstance(data_type, T.StringType)
         measures += [
             F.count(column).alias(f"filled_{i}"),
@@ -86,8 +86,8 @@ def column_profile_approx(df: DataFrame, error: float = APPROX_ERROR) -> DataFra
                 F.col("rows"),
                 (F.col("rows") - F.col(f"filled_{i}")).alias("nulls"),
                 F.col(f"distinct_{i}").alias("distinct_values"),
-                render(F.col(f"lowest_{i}"), _measured(field)[1]).alias("min_value"),
-                render(F.col(f"highest_{i}"), _measured(field)[1]).alias("max_value"),
+                render(F.col(f"lowest_{i}"), measured(field)[1]).alias("min_value"),
+                render(F.col(f"highest_{i}"), measured(field)[1]).alias("max_value"),
                 F.col(f"length_{i}").alias("max_length"),
             )
             for i, field in enumerate(df.schema.fields)

@@ -28,6 +28,7 @@ from tablepull.operators.overlap import overlap_join
 from tablepull.operators.pruned import read_target, upsert_pruned
 from tablepull.operators.profile import APPROX_ERROR, column_profile, column_profile_approx
 from tablepull.operators.sinks import check_arity, csv_lines, read_csv, write_csv
+from tablepull.operators.sketches import DISTINCT_ERROR, FREQUENT_ERROR, RANK_ERROR, append_sketches, profile_from_sketches
 from tablepull.operators.snapshots import leaf_bits, snapshot_diff, write_digests
 from tablepull.operators.toplimit import limit_batch
 from tablepull.plans.acceptance import ACCEPTANCE, VIEWS
@@ -575,6 +576,33 @@ def column_profile_one_pass(spark, sf_dir):
     return column_profile_approx(lines).join(exact, "column_name").withColumn("near", near).drop("distinct_values", "exact")
 
 
+@query
+def profile_from_sketches_(spark, sf_dir):
+    """The profile merged from three increments, which are read once each.
+
+    ``near`` holds an estimated distinct count within three times its stated error, ``near_ranks`` the quantiles and
+    ``near_counts`` the most frequent value's count within theirs (a column may have no frequent value).
+    """
+    lines, path = table(spark, sf_dir, "lineitem"), shared_dir(spark, "sketches")
+    year = F.year("l_shipdate")
+    for part in (lines.filter(year < 1997), lines.filter(year == 1997), lines.filter((year > 1997) | year.isNull())):
+        append_sketches(part, path)
+    profile = profile_from_sketches(spark, path)
+    exact = column_profile(lines).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1), 3 * DISTINCT_ERROR * F.col("exact"))
+    found, checks = profile.select("column_name", "quantiles", "frequent").collect(), []
+    for row in found:
+        value, held = F.col(row["column_name"]), F.lit(True)
+        for top in row["frequent"][:1]:
+            counted = F.count_if(value.cast("string") == top["value"])
+            held = F.abs(counted - F.lit(top["n"])) <= F.count(F.lit(1)) * FREQUENT_ERROR + 1
+        ranks = [(F.count_if(value < q) <= (share + RANK_ERROR) * F.count(value)) & (F.count_if(value <= q) >= (share - RANK_ERROR) * F.count(value)) for q, share in zip(row["quantiles"] or [], (0.25, 0.5, 0.75))]
+        both = (ranks[0] & ranks[1] & ranks[2]) if ranks else F.lit(None).cast("boolean")
+        checks.append(F.struct(F.lit(row["column_name"]).alias("column_name"), both.alias("near_ranks"), held.alias("near_counts")))
+    checked = lines.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+    return profile.drop("quantiles", "frequent").join(exact, "column_name").join(checked, "column_name").withColumn("near", near).drop("distinct_values", "exact")
+
+
 # Streaming
 
 
