@@ -35,6 +35,7 @@ from tablepull.plans.acceptance import ACCEPTANCE, VIEWS
 from tablepull.plans.estate import estate, estate_targets
 from tablepull.plans.run import run_job, run_specs, table_counts
 from tablepull.session import remove_path, shared_dir, with_session
+from tablepull.sources.csv_split import read_csv_split
 from tablepull.sources.scan import even_cuts, parquet_tables, scan_query, scan_table, stride_counts
 from tablepull.spec import TableSpec
 from tablepull.streaming.ingest import ingest_new, ingested
@@ -278,6 +279,16 @@ def csv_roundtrip_nulls(spark, sf_dir):
     return _roundtrip(spark, turns.withColumn("role", role), "csv-nulls")
 
 
+@query
+def csv_split_read(spark, sf_dir):
+    """All documents in one file, whose values hold line breaks, read by many tasks with their types."""
+    documents, path = table(spark, sf_dir, "documents"), shared_dir(spark, "csv-split-read")
+    write_csv(documents, path, records_per_file=0, single_file=True)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = {"spark.sql.files.maxPartitionBytes": str(min(128 << 20, max(1 << 16, size // 16))), "spark.sql.files.openCostInBytes": "4096"}
+    return read_csv_split(with_session(spark, ranges), path, documents.schema)
+
+
 @query
 def csv_arity(spark, sf_dir):
     path = shared_dir(spark, "csv-arity")
