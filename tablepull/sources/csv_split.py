@@ -32,9 +32,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(record): the records of the files at ``path``, each as it stands in its file, line breaks included.
 
-    A record is read by the tasks of the ranges it lies in; only records of several lines, and what
-    lies around the border of two ranges, are brought together. A range is one task's work: its size is
-    ``spark.sql.files.maxPartitionBytes``.
+    The lines of a range are shuffled once and put together to records there; only what lies around the border of
+    two ranges meets again. A range is one task's work: its size is ``spark.sql.files.maxPartitionBytes``.
     """
     lines = _lines(spark, path)
     files = Window.partitionBy("file").orderBy("at")
@@ -43,21 +42,27 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     ranges = ranges.select(*_RANGE, (before % 2).alias("begins"))
     inside = Window.partitionBy(*_RANGE).orderBy("no")
     earlier = F.coalesce(F.sum("odd").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # One row a range.
-    lines = lines.join(broadcast_if_small(ranges), _RANGE).withColumn("within", (F.col("begins") + earlier) % 2)
+    # One row a range. A line outside of quotes opens a record; lines before the first one belong to an earlier range's last.
+    lines = lines.join(broadcast_if_small(ranges), _RANGE).withColumn("opens", ((F.col("begins") + earlier) % 2 == 0).cast("long"))
+    lines = lines.withColumn("nth", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    parts = F.array_sort(F.collect_list(F.struct("no", "value")))
     staged = shared_dir(spark, "csv-split")
-    lines.drop("begins").write.parquet(staged)
-    lines = spark.read.parquet(staged)
-    whole = lines.filter("within = 0 and odd = 0").select(F.col("value").alias("record"))
-    pieces = lines.filter("within = 1 or odd = 1")
-    # A record of several lines opens with an odd line outside of quotes; all pieces up to the next opening are its own.
-    opens = (F.col("within") == 0).cast("long")
-    pieces = pieces.withColumn("nth", F.sum(opens).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    counts = pieces.groupBy(*_RANGE).agg(F.sum(opens).alias("opened"))
-    counts = counts.select(*_RANGE, F.coalesce(F.sum("opened").over(files.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
-    numbered = pieces.join(broadcast_if_small(counts), _RANGE).withColumn("record_no", F.col("earlier") + F.col("nth"))
-    parts = F.array_sort(F.collect_list(F.struct("at", "no", "value")))
-    joined = numbered.groupBy("file", "record_no").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("record"))
+    lines.groupBy(*_RANGE, "nth").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("record")).write.parquet(staged)
+    pieces = spark.read.parquet(staged)
+
+    opened = pieces.groupBy(*_RANGE).agg(F.max("nth").alias("last"))
+    runs_on = F.coalesce(F.lead("begins").over(files), F.lit(0)) == 1
+    ranges = ranges.join(opened, _RANGE).withColumn("runs_on", runs_on)
+    # Records that run over a border, counted along the file.
+    crossing = F.sum(F.when(F.col("runs_on") & (F.col("last") > 0), 1).otherwise(0)).over(files.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = pieces.join(broadcast_if_small(ranges.withColumn("crossing", crossing)), _RANGE)
+    cut_off = F.col("runs_on") & (F.col("nth") == F.col("last"))
+    whole = placed.filter((F.col("nth") > 0) & ~cut_off).select("record")
+    # A piece that an earlier range opened belongs to the record that crosses before those this range opens.
+    chain = F.col("crossing") - F.when((F.col("nth") == 0) & F.col("runs_on") & (F.col("last") > 0), 1).otherwise(0)
+    border = placed.filter((F.col("nth") == 0) | cut_off).select("file", chain.alias("chain"), "at", "nth", "record")
+    ordered = F.array_sort(F.collect_list(F.struct("at", "nth", "record")))
+    joined = border.groupBy("file", "chain").agg(F.array_join(F.transform(ordered, lambda p: p["record"]), "\n").alias("record"))
     return whole.unionByName(joined.select("record"))
 
 
