@@ -30,22 +30,51 @@ def catalog_tables(spark: SparkSession) -> Resolver:
     return lambda schema, table: spark.table(f"{quoted(schema)}.{quoted(table)}")
 
 
-def jdbc_tables(spark: SparkSession, options: Mapping[str, str], batch_size: int = 10_000) -> Resolver:
-    """Tables of a database, read over one connection each; see ``jdbc_options``.
+def jdbc_tables(spark: SparkSession, options: Mapping[str, str], batch_size: int = 10_000, partition_column: str | None = None, partitions: int = 1) -> Resolver:
+    """Tables of a database; see ``jdbc_options``.
 
-    A spec's own batch size goes before ``batch_size``.
+    A table is read over one connection, or over ``partitions`` of them, each of which takes a stride of
+    ``partition_column`` between its smallest and its largest value. A spec's own batch size and partitions go before these.
     """
 
     def read(schema: str, table: str) -> DataFrame:
+        if partitions > 1 and partition_column:
+            cuts = strides(*column_bounds(spark, options, schema, table, partition_column), partitions)
+            if cuts:
+                return scan_partitioned(spark, options, schema, table, partition_column, cuts, batch_size)
         return spark.read.format("jdbc").options(**jdbc_options(options, schema=schema, table=table, batch_size=batch_size)).load()
 
-    read.with_batch_size = lambda size: jdbc_tables(spark, options, size)
+    def for_spec(spec: TableSpec) -> Resolver:
+        column, parts = (spec.partition_column, spec.partitions) if spec.partition_column else (partition_column, partitions)
+        return jdbc_tables(spark, options, spec.batch_size, column, parts)
+
+    read.for_spec = for_spec
     return read
 
 
+def column_bounds(spark: SparkSession, options: Mapping[str, str], schema: str, table: str, column: str) -> tuple[Any, Any]:
+    """The smallest and the largest value of a column, asked of the database."""
+    name = jdbc_options({}, schema=schema, table=table)["dbtable"]
+    quoted_column = '"' + column.replace('"', '""') + '"'
+    text = f"SELECT min({quoted_column}) AS low, max({quoted_column}) AS high FROM {name}"
+    row = spark.read.format("jdbc").options(**jdbc_options(options, query=text)).load().first()
+    return row["low"], row["high"]
+
+
+def strides(low: Any, high: Any, parts: int) -> list[Any]:
+    """Inner borders of strides of equal width between two numbers, dates or times; none if there is nothing to cut."""
+    if low is None or low == high:
+        return []
+    if isinstance(low, int):
+        return even_cuts(low, high, parts)
+    return sorted({cut for cut in (low + (high - low) * i / parts for i in range(1, parts)) if low < cut < high})
+
+
 def sized(resolve: Resolver, spec: TableSpec) -> Resolver:
-    """The resolver with the batch size of a spec, if it fetches in batches."""
-    with_size = getattr(resolve, "with_batch_size", None)
+    """The resolver with the batch size and the partitions of a spec, if it reads from a database."""
+    for_spec, with_size = (getattr(resolve, name, None) for name in ("for_spec", "with_batch_size"))
+    if for_spec:
+        return for_spec(spec)
     return with_size(spec.batch_size) if with_size else resolve
 
 

@@ -30,6 +30,8 @@ class TableSpec:
     name: str | None = None
     bool_style: str = "tf"
     batch_size: int = 10_000
+    partition_column: str | None = None
+    partitions: int = 1
 
     def __post_init__(self) -> None:
         if bool(self.query) == bool(self.table):
@@ -44,6 +46,12 @@ class TableSpec:
             raise SpecError(f'The increment column "{self.increment_column}" is not among the exported columns.')
         if self.batch_size < 1:
             raise SpecError("The batch size must be positive.")
+        if self.partitions < 1:
+            raise SpecError("The number of partitions must be positive.")
+        if self.partitions > 1 and not self.partition_column:
+            raise SpecError("A read in several partitions needs a partition column.")
+        if self.partition_column and self.query:
+            raise SpecError("A query is read in one partition.")
 
     @classmethod
     def from_config(cls, row: Mapping[str, Any]) -> TableSpec:
@@ -74,6 +82,8 @@ class TableSpec:
             name=row.get("name"),
             bool_style="10" if fallback and not consistent else "tf",
             batch_size=int(row.get("batchSize") or 10_000),
+            partition_column=row.get("partitionColumn") or None,
+            partitions=int(row.get("partitions") or 1),
         )
 
 
