@@ -69,7 +69,8 @@ def merged_sketches(store: DataFrame) -> DataFrame:
         ]
         if f"ranks_{i}" in store.columns:
             facts.append(F.kll_merge_agg_double(f"ranks_{i}").alias(f"ranks_{i}"))
-    return store.agg(*facts)
+    # One row an increment, so one task merges them all; frequent items cannot be merged by a task without rows.
+    return store.coalesce(1).agg(*facts)
 
 
 def profile_from_sketches(spark: SparkSession, path: str, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75), frequent: int = 5) -> DataFrame:

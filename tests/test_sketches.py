@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablepull.operators.profile import column_profile
-from tablepull.operators.sketches import DISTINCT_ERROR, append_sketches, profile_from_sketches
+from tablepull.operators.sketches import DISTINCT_ERROR, append_sketches, merged_sketches, profile_from_sketches
 from tablepull.spec import SpecError
 
 SAME = ["column_name", "rows", "nulls", "min_value", "max_value", "max_length"]
@@ -43,6 +43,15 @@ def test_increments_of_all_types_and_empty_ones(spark, types_table, tmp_path):
     assert [tuple(r) for r in profile_from_sketches(spark, path).select(*SAME).collect()] == [tuple(r) for r in column_profile(types_table).select(*SAME).collect()]
 
 
+def test_parts_of_a_store_without_rows(spark, types_table, tmp_path):
+    path = str(tmp_path / "s")
+    append_sketches(types_table, path)
+    append_sketches(types_table, path)
+    store = spark.read.parquet(path)
+    merged = merged_sketches(store.unionByName(store.filter("rows < 0")).repartition(6))
+    assert merged.first()["rows"] == 8
+
+
 def test_different_columns_are_refused(spark, types_table, tmp_path):
     path = str(tmp_path / "s")
     append_sketches(types_table, path)
