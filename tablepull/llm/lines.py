@@ -40,7 +40,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _split_lines(lines: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of the lines, their words and the number of words."""
-    rows = lines.select(*columns, _words(F.col("l_line")).alias("w"))
+    # As a generator's output the words are cut once; a filter on a plain column would cut them again.
+    rows = lines.select(*columns, F.inline(F.array(F.struct(_words(F.col("l_line")).alias("w")))))
     return rows.withColumn("n", F.when(F.col("w")[0] == "", 0).otherwise(F.size("w")))
 
 
