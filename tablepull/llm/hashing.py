@@ -108,6 +108,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hash(prefixes(_LOWER[data]), starts, ends), rows
 
 
+def sequence_hashes(words: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each row a hash of all its words in order."""
+    _, down = _powers(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * down[: len(words)], out=sums[1:])
+    return span_hash(sums, rows[:-1], rows[1:])
+
+
 def combine(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words."""
     total = np.full(max(len(words) - size + 1, 0), (size * int(_BASE)) % 2**64, dtype=np.uint64)

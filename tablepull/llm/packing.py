@@ -9,13 +9,16 @@ the next larger until one is compatible.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
+from tablepull.llm.hashing import chunks, sequence_hashes, word_hashes
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.tables import broadcast_below, repeated, stored
 
@@ -23,28 +26,36 @@ from tablepull.llm.tables import broadcast_below, repeated, stored
 SHARD_ROWS = 8192
 # Bytes of a cluster's row in a table that is copied to all executors, at most.
 CLUSTER_BYTES = 64
-WORD = r"[^\x20\x09-\x0D]+"
+_ROWS = "id {id_type}, source string, node long, n long, cluster long"
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Instead of the text its number of words and a hash of them in lower case."""
+    for batch in batches:
+        lowered = pc.utf8_lower(batch.column("text").cast(pa.large_string()).fill_null(""))
+        counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for _, _, data, offsets in chunks(lowered):
+            words, rows = word_hashes(data, offsets)
+            counts.append(np.diff(rows))
+            hashes.append(sequence_hashes(words, rows))
+        described = [pa.array(np.concatenate(counts), pa.int64()), pa.array(np.concatenate(hashes).view(np.int64))]
+        yield pa.record_batch([*(batch.column(c) for c in ("id", "source", "node")), *described], names=["id", "source", "node", "n", "cluster"])
 
 
-def duplicate_cluster(text: Column) -> Column:
-    """Texts that differ only in letter case and white space are of one cluster."""
-    return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))))
+def _node(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def near_clusters(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(cluster, near) of each ``duplicate_cluster`` that is a near copy of another: near copies have equal ``near``.
+    """(node, near) of the texts that are a near copy of another: near copies have equal ``near``; ``node`` is a text's hash.
 
-    See ``near_duplicates``; letter case is folded as for ``duplicate_cluster``. Texts are nodes here, not
-    documents, so ids that are null or shared do not matter.
+    See ``near_duplicates``; letter case is folded as for copies. Texts are nodes here, not
+    documents, so ids that are null or shared do not matter. Texts of equal words have equal shingles.
     """
     text = qcol(text_col)
-    texts = docs.select(duplicate_cluster(text).alias("cluster"), F.lower(text).alias("text"))
-    near = near_duplicates(texts, "cluster").where("component_id != cluster")
-    return stored(near.select("cluster", F.col("component_id").alias("near")).distinct(), "clusters")
+    texts = docs.select(_node(text).alias("node"), F.lower(text).alias("text"))
+    near = near_duplicates(texts, "node").where("component_id != node")
+    return stored(near.select("node", F.col("component_id").alias("near")).distinct(), "clusters")
 
 
 def _bits(values: list) -> list[int]:
@@ -102,16 +113,13 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id"
     an empty result; other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col)).alias("n"), duplicate_cluster(F.col(text_col)).alias("cluster"),
-    )
-    rows = rows.groupBy("id", "source", "n", "cluster").agg(F.count(F.lit(1)).alias("copies"))
-    if clusters is None:
-        rows = rows.withColumn("near", F.col("cluster"))
-    else:
-        found = broadcast_below(clusters, clusters.count(), CLUSTER_BYTES)
-        rows = rows.join(found, "cluster", "left").withColumn("near", F.coalesce("near", "cluster"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), _node(qcol(text_col)).alias("node"), qcol(text_col).alias("text"))
+    rows = rows.mapInArrow(_described, _ROWS.format(id_type=id_type))
+    # Copies that differ in white space or letter case are different nodes of one cluster; near copies join nodes.
+    near = F.col("cluster") if clusters is None else F.coalesce("near", "node")
+    if clusters is not None:
+        rows = rows.join(broadcast_below(clusters, clusters.count(), CLUSTER_BYTES), "node", "left")
+    rows = rows.groupBy("id", "source", "n", "cluster", near.alias("near")).agg(F.count(F.lit(1)).alias("copies"))
     total = docs.select(F.count(F.lit(1))).first()[0]
     shards = max(1, -(-total // SHARD_ROWS))
     rows = repeated(rows, "copies", "copy")
