@@ -9,12 +9,14 @@ import re
 # Fixed values of the markup language: elements without content, elements whose content is no
 # text of the page, elements that stand in lines of text rather than make a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template iframe svg math title textarea select button object audio video canvas head".split())
+SILENT = set("script style noscript template iframe svg title textarea select button object audio video canvas head".split())
 RAW = {"script", "style", "title", "textarea", "iframe", "noscript"}
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span"
-    " strike strong sub sup time tt u var".split()
+    " strike strong sub sup time tt u var math mfrac mi mn mo mrow ms msqrt msub msubsup msup mtext semantics".split()
 )
+# Elements that may stand in a head; any other one ends it.
+IN_HEAD = set("base link meta noscript script style title head".split())
 # A start tag ends an open element of the second set, unless one of the third stands between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -70,6 +72,8 @@ class Page:
         words: list[str] = []
         links = in_link = 0
         at, silent, depth = 0, "", 0
+        # Whether the silent element has no end tag; the elements known to have none any more.
+        loose, never = False, set()
 
         def flush() -> None:
             nonlocal links
@@ -96,8 +100,12 @@ class Page:
             if not name:
                 continue
             name, ends = name.lower(), bool(tag[1] or tag[4])
+            if silent == "head" and not ends and name not in IN_HEAD:
+                silent = ""
+            if silent and loose and (any(name == o for o, _ in open_[1:]) if ends else name in _KIND):
+                silent = ""
             if silent:
-                # Only its own end tag ends a silent element; elements that can hold themselves are counted.
+                # Only its own end tag ends a silent element that has one; elements that can hold themselves are counted.
                 if name == silent:
                     depth += -1 if ends else 1
                 if depth <= 0 or (silent == "head" and name == "body"):
@@ -111,7 +119,7 @@ class Page:
                 if name in RAW and not ends:
                     at = self._after(source, name, at)
                 elif not ends and not (attributes or "").rstrip().endswith("/"):
-                    silent, depth = name, 1
+                    silent, depth, loose = name, 1, self._unclosed(source, name, at, never)
                 continue
             if name in INLINE:
                 if name == "a":
@@ -167,6 +175,16 @@ class Page:
             links += in_link and len(rest)
         flush()
 
+    @staticmethod
+    def _unclosed(source: str, name: str, at: int, never: set[str]) -> bool:
+        """Whether an element that starts before ``at`` has no end tag; buttons and selects do not hold themselves."""
+        if name in never:
+            return True
+        found = re.compile(rf"<(/?){name}\b" if name in ("button", "select") else rf"<(/){name}\b", re.I).search(source, at)
+        if found is None:
+            never.add(name)
+        return found is None or not found[1]
+
     @staticmethod
     def _after(source: str, name: str, at: int) -> int:
         """Behind the end tag of an element that holds raw text."""

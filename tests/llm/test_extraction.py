@@ -32,6 +32,14 @@ def blocks(source):
         ("<p>cut off</", ["cut off"]),
         ("<textarea><p>no</textarea><button>no</button><select><option>no</select>yes", ["yes"]),
         ("<svg><g><text>no</text></g></svg><h1>a</h1><h2>b", ["a", "b"]),
+        ("<html><head><title>t</title><meta><p>First</p><p>b", ["First", "b"]),
+        ("<head><template><div>no</div></template><title>no</title><div>a", ["a"]),
+        ("<div>a<button>no</div><p>b</p>", ["a", "b"]),
+        ("<p>a</p><button>no<p>b</p><button>no</button>c", ["a", "b", "c"]),
+        ("<button><div>no</div></button><p>a", ["a"]),
+        ("<div>a<svg><path><g></div><p>b</p>", ["a", "b"]),
+        ("<select><option>no<h1>a</h1>", ["a"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds", ["so x=1 holds"]),
         ("", []),
     ],
 )
