@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablepull.spec import SpecError
-from tablepull.streaming.sessions import closed_sessions, merged, open_sessions, session_new
+from tablepull.streaming.sessions import Sessions, closed_sessions, merged, open_sessions, session_new
 from tablepull.streaming.windows import closed_windows, late_rows, open_windows, window_new
 
 SCHEMA = "k string, at timestamp_ntz, v double"
@@ -91,3 +91,68 @@ def test_sessions_over_deliveries(spark, tmp_path):
     assert [r["k"] for r in keys] == ["a"]
     with pytest.raises(SpecError, match="not found"):
         session_new(spark, f"{base}/in", schema, base, ["nope"], "at", 1)
+
+
+class Held:
+    """The state of one key, and the timers set for it."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls, self.now = None, [], 0, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return self.fired
+
+
+def test_a_key_has_one_timer_for_all_its_sessions():
+    held, processor = Held(), Sessions(1_000_000, ["k"])
+    processor.init(held)
+    rows = lambda *seconds: iter([{"session_row_micros": s * 1_000_000} for s in seconds])
+    assert list(processor.handleInputRows(("a",), rows(50, 10, 30, 20, 40), held)) == []
+    assert held.timers == [11_000] and held.calls == 1
+    # A later row needs no timer, an earlier one does.
+    assert list(processor.handleInputRows(("a",), rows(60), held)) == [] and held.timers == [11_000]
+    assert list(processor.handleInputRows(("a",), rows(5), held)) == [] and held.timers == [11_000, 6_000]
+    held.now, held.fired = 35_000, 6_000
+    (row,) = processor.handleExpiredTimer(("a",), held, held)
+    assert row["session_starts"] == [s * 1_000_000 for s in (5, 10, 20, 30)] and row["session_counts"] == [1] * 4 and held.timers[2:] == [41_000]
+    # The one left behind finds nothing that is over.
+    held.fired, calls = 11_000, held.calls
+    assert list(processor.handleExpiredTimer(("a",), held, held)) == [] and held.calls == calls
+    held.now, held.fired = 99_000, 41_000
+    (row,) = processor.handleExpiredTimer(("a",), held, held)
+    assert len(row["session_ends"]) == 3 and held.value is None and held.timers[4:] == []
+    assert list(processor.handleExpiredTimer(("a",), held, held)) == []
+
+
+def test_sessions_keep_their_keys(spark, tmp_path):
+    """Keys of any type, null among them, and sessions to the microsecond."""
+    base, day = str(tmp_path), datetime.date(2024, 2, 29)
+    at = START + datetime.timedelta(microseconds=7)
+    for rows in ([(2**60 + 1, day, START, at), (None, None, None, at), (2**60 + 1, day, START, at + 5 * HOUR)], [(1, day, START, at + 90 * HOUR)]):
+        frame = spark.createDataFrame(rows, "i bigint, d date, t timestamp_ntz, at timestamp_ntz")
+        frame.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        session_new(spark, f"{base}/in", frame.schema, base, ["i", "d", "t"], "at", 3600, "1 hour")
+    closed, open_ = (f(spark, base, *a).collect() for f, a in ((closed_sessions, (frame.schema, ["i", "d", "t"])), (open_sessions, (["i", "d", "t"],))))
+    assert sorted(map(tuple, closed), key=str) == sorted([(2**60 + 1, day, START, at, at, 1), (2**60 + 1, day, START, at + 5 * HOUR, at + 5 * HOUR, 1), (None, None, None, at, at, 1)], key=str)
+    assert [tuple(r) for r in open_] == [(1, day, START, at + 90 * HOUR, at + 90 * HOUR, 1)]
