@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepull.functions.names import qcol
-from tablepull.llm.hashing import chunks, sequence_hashes, word_hashes
+from tablepull.llm.hashing import WORD_BYTES, chunks, sequence_hashes, word_hashes
 from tablepull.llm.minhash import near_duplicates
 from tablepull.llm.tables import broadcast_below, repeated, stored
 
@@ -34,7 +34,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lowered = pc.utf8_lower(batch.column("text").cast(pa.large_string()).fill_null(""))
         counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for _, _, data, offsets in chunks(lowered):
+        for _, _, data, offsets in chunks(lowered, WORD_BYTES):
             words, rows = word_hashes(data, offsets)
             counts.append(np.diff(rows))
             hashes.append(sequence_hashes(words, rows))
