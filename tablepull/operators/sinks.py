@@ -18,13 +18,15 @@ from pyspark.sql import types as T
 
 from tablepull.functions.names import qcol, quoted
 from tablepull.functions.render import render
-from tablepull.session import remove_path
+from tablepull.session import child_names, remove_path, rename_path
 
 # Stands for NULL while reading; no text can hold it, as text has no NUL.
 NULL_MARK = "\u0000"
 # Files with line breaks inside values are read whole by one task, so none may grow large.
 # A task writes what it reads, by default 128 MB of the source; a file is cut here at the latest.
 RECORDS_PER_FILE = 100_000
+# Bytes of a file that one task puts in its place.
+PIECE_BYTES = 128 * 1024 * 1024
 # A record of one column with its line break: a quoted value, or nothing, which is NULL.
 ONE_VALUE = r'(?s)("[^"]*+(?:""[^"]*+)*+"|)\n'
 MAY_HOLD_QUOTES = (T.StringType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -69,8 +71,8 @@ class ExportResult:
 def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style: str = "tf", records_per_file: int = RECORDS_PER_FILE, single_file: bool = False) -> ExportResult:
     """Writes the frame and counts it in the same job; with the largest value of ``watermark``.
 
-    An empty frame leaves no files. ``single_file`` puts all rows through one task and is
-    meant for small results only.
+    An empty frame leaves no files. With ``single_file`` many tasks write their parts, which are then
+    put together to one file in the frame's order; see ``join_files``.
     """
     observation = Observation()
     measures = [F.count(F.lit(1)).alias("rows")]
@@ -79,15 +81,72 @@ def write_csv(df: DataFrame, path: str, watermark: str | None = None, bool_style
         measures.append(render(F.max(qcol(watermark)), data_type).alias("last_value"))
     observed = df.observe(observation, *measures)
     lines = csv_lines(observed, bool_style)
-    if single_file:
-        lines = lines.coalesce(1)
-    lines.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)
+    target = f"{path.rstrip('/')}.parts" if single_file else path
+    lines.write.mode("overwrite").option("maxRecordsPerFile", 0 if single_file else records_per_file).text(target)
     facts = observation.get
     if not facts["rows"]:
+        remove_path(df.sparkSession, target)
         remove_path(df.sparkSession, path)
+    elif single_file:
+        join_files(df.sparkSession, target, path)
     return ExportResult(facts["rows"], facts.get("last_value"), path if facts["rows"] else None)
 
 
+def join_files(spark: SparkSession, parts: str, path: str) -> None:
+    """Puts the files of the folder ``parts``, which goes, behind each other into one file in the folder ``path``.
+
+    In a file system that all executors mount, each task copies a stretch of at most ``PIECE_BYTES`` to its place,
+    again with the same outcome if it is repeated. Others, such as HDFS, must be able to join files by name.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(parts)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    at = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{parts}/{name}")
+    sizes = [(name, files.getFileStatus(at(name)).getLen()) for name in sorted(child_names(spark, parts)) if name.startswith("part-")]
+    sizes = [(name, size) for name, size in sizes if size]
+    remove_path(spark, path)
+    first = sizes[0][0]
+    if len(sizes) == 1 or files.getUri().getScheme() != "file":
+        if len(sizes) > 1:
+            others = spark._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(sizes) - 1)
+            for i, (name, _) in enumerate(sizes[1:]):
+                others[i] = at(name)
+            files.concat(at(first), others)
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(path))
+        rename_path(spark, f"{parts}/{first}", f"{path}/{first}")
+    else:
+        source, target = folder.toUri().getPath(), spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+        pieces, place = [], 0
+        for name, size in sizes:
+            pieces += [(f"{source}/{name}", start, min(PIECE_BYTES, size - start), place + start) for start in range(0, size, PIECE_BYTES)]
+            place += size
+
+        def copy(piece: tuple[str, int, int, int]) -> None:
+            import os
+
+            name, start, left, to = piece
+            os.makedirs(target, exist_ok=True)
+            out = os.open(f"{target}/{first}", os.O_CREAT | os.O_WRONLY, 0o644)
+            try:
+                with open(name, "rb") as file:
+                    file.seek(start)
+                    while left:
+                        data = file.read(min(left, 1 << 22))
+                        if not data:
+                            raise OSError(f"{name} is shorter than it was.")
+                        left -= len(data)
+                        while data:
+                            done = os.pwrite(out, data, to)
+                            to, data = to + done, data[done:]
+            finally:
+                os.close(out)
+
+        spark.sparkContext.parallelize(pieces, len(pieces)).foreach(copy)
+        found = files.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{first}")).getLen()
+        if found != place:
+            raise RuntimeError(f"{path} holds {found} bytes, its parts hold {place}.")
+    remove_path(spark, parts)
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Files written by ``write_csv``, every column as text.
 

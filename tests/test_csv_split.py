@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tablepull.operators import sinks
 from tablepull.operators.sinks import read_csv, write_csv
 from tablepull.session import with_session
 from tablepull.sources.csv_split import csv_records, read_csv_split
@@ -66,3 +67,19 @@ def test_types_come_back(spark, tmp_path):
     write_csv(frame, str(tmp_path / "t"), records_per_file=0, single_file=True)
     got = read_csv_split(spark, str(tmp_path / "t"), frame.schema).orderBy(F.col("i").asc_nulls_last()).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in frame.collect()]
+
+
+@pytest.mark.parametrize("piece", [1 << 27, 700])
+def test_many_tasks_write_one_file(spark, tmp_path, monkeypatch, piece):
+    """No task holds all rows; they stand in the file in the frame's order."""
+    monkeypatch.setattr(sinks, "PIECE_BYTES", piece)
+    frame = spark.range(0, 1000, 1, 4).select("id", F.spark_partition_id().alias("task"), F.lit('é\n"').alias("text"))
+    path = tmp_path / "t"
+    for _ in range(2):
+        result = write_csv(frame, str(path), "id", records_per_file=0, single_file=True)
+    assert (result.rows, result.last_value) == (1000, "999")
+    assert len([p for p in path.iterdir() if p.name.startswith("part-")]) == 1 and not (tmp_path / "t.parts").exists()
+    rows = read_csv(spark, str(path), frame.columns).collect()
+    assert [r["id"] for r in rows] == [str(i) for i in range(1000)] and {r["text"] for r in rows} == {'é\n"'}
+    assert {r["task"] for r in rows} == {"0", "1", "2", "3"}
+    assert write_csv(frame.limit(0), str(path), single_file=True).rows == 0 and not path.exists()
