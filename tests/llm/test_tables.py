@@ -1,5 +1,9 @@
 import random
+import time
 
+from pyspark.sql import functions as F
+
+from tablepull.llm import tables
 from tablepull.llm.tables import components, repeated
 
 
@@ -28,3 +32,20 @@ def test_repeated(spark):
     out = repeated(rows, "copies", "number")
     assert out.columns == ["name", "number"]
     assert out.where("name = 'y'").distinct().count() == 25_001 and out.where("name = 'x'").count() == 1
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    """Else they stay until the driver collects its garbage, and a job of many tables needs the disk for all of them."""
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(tables._CLEANUP, None)
+    kept = tables.stored(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count(), "test")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 10
+    assert spark.conf.get(tables._CLEANUP, None) == setting
+    tables.drop_stored(kept)
