@@ -34,18 +34,30 @@ def test_repeated(spark):
     assert out.where("name = 'y'").distinct().count() == 25_001 and out.where("name = 'x'").count() == 1
 
 
-def test_stored_leaves_no_shuffle_files(spark):
-    """Else they stay until the driver collects its garbage, and a job of many tables needs the disk for all of them."""
+def _left_files(spark, run):
+    """Names of the shuffle files that ``run`` leaves after some seconds."""
 
     def files():
         found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
         return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
 
-    before, setting = files(), spark.conf.get(tables._CLEANUP, None)
-    kept = tables.stored(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count(), "test")
+    before = files()
+    run()
     until = time.time() + 10
     while files() - before and time.time() < until:
         time.sleep(0.2)
-    assert not files() - before and kept.count() == 10
-    assert spark.conf.get(tables._CLEANUP, None) == setting
-    tables.drop_stored(kept)
+    return files() - before
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    """Else they stay until the driver collects its garbage, and a job of many tables needs the disk for all of them."""
+    setting, frame = spark.conf.get(tables._CLEANUP, None), spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    kept = []
+    assert not _left_files(spark, lambda: kept.append(tables.stored(frame, "test")))
+    assert kept[0].count() == 10 and (spark.conf.get(tables._CLEANUP, None) or "false") == (setting or "false")
+    tables.drop_stored(*kept)
+
+
+def test_passes_leave_no_shuffle_files(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+    assert not _left_files(spark, lambda: components(edges))
