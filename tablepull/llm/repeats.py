@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +27,12 @@ LENGTH = 100
 GRAM = 24
 # Bytes of runs that are sorted at once, and the runs of one bucket beyond which its windows are
 # dealt out singly by their hash (a bucket is then no task's work).
-SORT_BYTES = 4 * 1024 * 1024
+SORT_BYTES = 512 * 1024
 BUCKET_RUNS = 10_000
 _PLACE_BITS = np.uint64(24)
 _PIECE = 1 << 22
+# Bytes of short texts that are taken together, so that their hashes stay in a core's cache.
+CHUNK = 1 << 16
 _NULL_ID = -(2**63)
 
 
@@ -54,8 +57,8 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -
     backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     anchor = (np.minimum(backward[:n], forward[width - 1 : width - 1 + n]) & np.uint64((1 << int(_PLACE_BITS)) - 1)).astype(np.int64)
     # Windows that end behind their row are none.
-    row = np.searchsorted(offsets, np.arange(n), side="right") - 1
-    valid = np.arange(n) + length <= offsets[row + 1]
+    sizes = np.diff(offsets)
+    row, valid = np.repeat(np.arange(len(sizes)), sizes)[:n], np.arange(n) + length <= np.repeat(offsets[1:], sizes)[:n]
     change = np.flatnonzero((anchor[1:] != anchor[:-1]) | (valid[1:] != valid[:-1]) | (row[1:] != row[:-1])) + 1
     first = np.concatenate([[0], change])
     last = np.concatenate([change, [n]]) - 1
@@ -69,7 +72,7 @@ def _runs(length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for top, _, data, offsets in chunks(batch.column("text"), _PIECE // 4):
+            for top, _, data, offsets in chunks(batch.column("text"), CHUNK):
                 # A very long text is taken in pieces that overlap by a window less one byte.
                 step = max(len(data), 1) if len(offsets) > 2 else _PIECE
                 for base in range(0, max(len(data) - length + 1, 1), step):
@@ -128,12 +131,14 @@ def refined(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int)
     """
     step = min(8, length)
     at = np.flatnonzero(np.arange(len(data)) + step <= ends)
-    grams = np.zeros(len(at), np.uint64)
-    for k in range(step):
-        grams = grams << np.uint64(8) | data[at + k]
+    # Eight bytes from every place on as one number, the first byte on top.
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    grams = np.ndarray(len(data), ">u8", padded, strides=(1,)).astype(np.uint64)[at] >> np.uint64(8 * (8 - step))
     pointer = np.full(len(data), -1, np.int64)
-    order = np.argsort(grams, kind="stable")
-    pointer[at[order]] = _bucket_starts(grams[order][1:] != grams[order][:-1], 0)
+    # Pointers do not depend on the order of equal numbers, so no sort has to keep it.
+    order = np.argsort(grams)
+    grams = grams[order]
+    pointer[at[order]] = _bucket_starts(grams[1:] != grams[:-1], 0)
     depth = step
     while depth < length:
         reach = min(2 * depth, length)
@@ -141,10 +146,11 @@ def refined(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int)
         # Members of buckets that are still shared.
         size = np.bincount(pointer[places], minlength=len(data))
         places = places[size[pointer[places]] > 1]
-        later = pointer[places + reach - depth]
-        order = np.lexsort((later, pointer[places]))
-        old, later, places = pointer[places[order]], later[order], places[order]
-        split = (old[1:] != old[:-1]) | (later[1:] != later[:-1])
+        # Both pointers as one number.
+        both = pointer[places] * len(data) + pointer[places + reach - depth]
+        order = np.argsort(both)
+        places, both = places[order], both[order]
+        old, split = pointer[places], both[1:] != both[:-1]
         head = np.concatenate([[True], old[1:] != old[:-1]])[: len(old)]
         begin = np.maximum.accumulate(np.where(head, np.arange(len(old)), 0))
         within = _bucket_starts(split, 0) - begin
@@ -161,10 +167,11 @@ def _bucket_starts(split: np.ndarray, base: int) -> np.ndarray:
 
 def _later_windows(pointer: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Whether a window equals one of a smaller (id, start)."""
-    order = np.lexsort((starts, ids, pointer))
-    p, i, s = pointer[order], ids[order], starts[order]
-    first = _bucket_starts(p[1:] != p[:-1], 0)
     later = np.zeros(len(pointer), bool)
+    shared = np.flatnonzero(np.bincount(pointer)[pointer] > 1)
+    order = shared[np.lexsort((starts[shared], ids[shared], pointer[shared]))]
+    p, i, s = pointer[order], ids[order], starts[order]
+    first = _bucket_starts(p[1:] != p[:-1], 0)[: len(p)]
     later[order] = (i != i[first]) | (s != s[first])
     return later
 
@@ -207,7 +214,7 @@ def _sorted(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     continue
                 take = batch.slice(0, 4096)
                 held.append(take)
-                size += sum(map(len, take.column("bytes").to_pylist()))
+                size += pc.sum(pc.binary_length(take.column("bytes"))).as_py() or 0
                 batch = batch.slice(4096)
         if held:
             yield solve(held)
